@@ -48,12 +48,13 @@ _TO = "".join(_FOLD.values())
 
 def fold_ascii(c: Column) -> Column:
     """Look-alikes and other forms become ASCII, invisible characters go (JVM side, one pass)."""
-    return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(c, _FROM, _TO)).otherwise(c)
+    return F.translate(c, _FROM, _TO)
 
 
 def _decoded(c: Column) -> Column:
-    """Percent escapes undone; text that is no valid escape sequence stays."""
-    return F.when(c.contains("%"), F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)).otherwise(c)
+    """Percent escapes undone; text that is no valid escape sequence stays. The lambda names c once, so nesting doesn't copy it."""
+    decode = lambda x: F.coalesce(F.try_url_decode(F.replace(x, F.lit("+"), F.lit("%2B"))), x)
+    return F.element_at(F.transform(F.array(c), decode), 1)
 
 
 def file_key(c: Column) -> Column:
@@ -62,7 +63,7 @@ def file_key(c: Column) -> Column:
     Query and fragment are cut, escapes undone (also when written twice),
     `/`, `\\` and `:` end a folder. Null stays null; nothing left gives ''.
     """
-    c = F.regexp_replace(F.trim(fold_ascii(c)), r"[?#].*$", "")
+    c = F.regexp_replace(F.trim(c), r"[?#].*$", "")
     c = fold_ascii(_decoded(_decoded(c)))
     c = F.regexp_replace(c, r"^\s+|[\s/\\]+$", "")
     return F.lower(F.trim(F.regexp_replace(c, r"^.*[/\\:]", "")))
