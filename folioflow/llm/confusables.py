@@ -38,7 +38,7 @@ def usual_forms() -> dict[int, str]:
     out |= {c: "" for c in range(0xE0000, 0xE0080)}
     for c in [*range(0xA0, 0x10000), *range(0x1D400, 0x1D800), *range(0x1F100, 0x1F200)]:
         ch = chr(c)
-        if c in out:
+        if c in out or ch in LOOKALIKES:
             continue
         if unicodedata.category(ch) == "Zs":
             out[c] = " "

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import confusables
+from folioflow.llm import confusables, scanned
 from folioflow.session import table
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return scanned.defects(table(spark, d, "ocr_pages"), table(spark, d, "parts"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return confusables.found(table(spark, d, "parts"))
 
@@ -16,5 +20,5 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return confusables.groups(table(spark, d, "parts"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_groups)}
+QUERIES = {f.__name__: f for f in (p3_found, p5_found, p5_groups)}
 SQL: dict[str, str] = {}
