@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioflow.llm import confusables, scanned
+from folioflow.llm import confusables, neardup, scanned
 from folioflow.session import table
 
 
@@ -12,6 +13,30 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return scanned.defects(table(spark, d, "ocr_pages"), table(spark, d, "parts"))
 
 
+def p3_repaired(spark: SparkSession, d: str) -> DataFrame:
+    pages, parts = table(spark, d, "ocr_pages"), table(spark, d, "parts")
+    all_texts = scanned.texts(pages, parts)
+    return scanned.repaired(all_texts, scanned.fit(all_texts, pages))
+
+
+#: Problem 4 in this data: sequences of three words, 30 words at least, a similarity of 0.4.
+P4 = {"threshold": 0.4, "k": 3, "least": 30}
+
+
+def _part_texts(spark: SparkSession, d: str) -> DataFrame:
+    """(field, id, text) of parts, as printed and in one form of characters."""
+    pages = table(spark, d, "ocr_pages")
+    texts = scanned.part_texts(table(spark, d, "parts")).filter("text is not null")
+    long_ = texts.filter(F.length("text") >= 2 * P4["least"] - 1)
+    whole = scanned.repaired(long_, scanned.fit(texts, pages))
+    return whole.select(F.substring_index("src", ".", -1).alias("field"), F.col("rec_id").alias("id"), "text")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    found = neardup.all_pairs(*neardup.near_duplicates(_part_texts(spark, d), **P4))
+    return found.select("field", F.col("id_a").alias("part_id_a"), F.col("id_b").alias("part_id_b"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return confusables.found(table(spark, d, "parts"))
 
@@ -20,5 +45,5 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return confusables.groups(table(spark, d, "parts"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p5_found, p5_groups)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_repaired, p4_found, p5_found, p5_groups)}
 SQL: dict[str, str] = {}

@@ -385,24 +385,105 @@ def whole_words(pieces: DataFrame, model: Model) -> DataFrame:
     none = (n_j == 0) & (n_h == 0)
     word = F.when(none & F.col("keeps"), F.col("h")).when(n_h > n_j, F.col("h")).otherwise(F.coalesce("fixed", "j"))
     decided = with_n.withColumn("keeps", keeps("a", "b")).select("a", "b", word.alias("word"))
-    return pieces.withColumn("la", F.lower("a")).withColumn("lb", F.lower("b")).drop("a", "b").join(decided.select(F.col("a").alias("la"), F.col("b").alias("lb"), "word"), ["la", "lb"])
+    return pieces.withColumn("la", F.lower("a")).withColumn("lb", F.lower("b")).join(decided.select(F.col("a").alias("la"), F.col("b").alias("lb"), "word"), ["la", "lb"])
 
 
-def defects(pages: DataFrame, parts: DataFrame) -> DataFrame:
-    """(src, rec_id, line_no, kind, word): one row for each defect."""
-    all_texts = texts(pages, parts)
-    model = fit(all_texts, pages)
+def detail(all_texts: DataFrame, model: Model) -> DataFrame:
+    """(src, rec_id, line_no, kind, a, b, word): defects with what stands on the page (a, at a line end also b).
+
+    kind `tail` is the rest of a word carried over from the page before; it is
+    no defect of its own line.
+    """
     rows = cut_lineage(_scanned(all_texts, model.reader).distinct())
-    cols = ("src", "rec_id", "line_no", "kind")
-    plain = rows.filter("kind in ('header', 'pageno')").select(*cols, F.lit("").alias("word"))
+    cols = ("src", "rec_id", "line_no", "kind", "a", "b", "word")
+    plain = rows.filter("kind in ('header', 'pageno')").withColumn("word", F.lit("")).select(*cols)
     # a word carried over to the next page of the same document
     last = rows.filter("kind = 'last' and src = 'ocr_pages.markdown'")
-    first = rows.filter("kind = 'first' and src = 'ocr_pages.markdown'").select("doc_id", (F.col("page") - 1).alias("page"), F.col("b").alias("next")).distinct()
+    first = rows.filter("kind = 'first' and src = 'ocr_pages.markdown'").select("doc_id", (F.col("page") - 1).alias("page"), F.col("b").alias("next"), F.col("rec_id").alias("next_id"), F.col("line_no").alias("next_no"))
     over = last.join(first, ["doc_id", "page"]).filter((F.lower(F.substring("next", 1, 1)) == F.substring("next", 1, 1)) | (F.upper("a") == F.col("a")))
-    pieces = rows.filter("kind = 'hyphen'").select("src", "rec_id", "line_no", "a", "b").unionByName(over.select("src", "rec_id", "line_no", "a", F.col("next").alias("b")))
-    hyphens = whole_words(pieces, model).select("src", "rec_id", "line_no", F.lit("hyphen").alias("kind"), "word")
-    tokens = rows.filter("kind = 'token'").select("src", "rec_id", "line_no", F.col("a").alias("key"))
-    single = tokens.filter("key = 'l'").select("src", "rec_id", "line_no", F.lit("1").alias("word"))
-    chars = tokens.join(model.fixes, "key").select("src", "rec_id", "line_no", "word").unionByName(single)
-    chars = chars.select("src", "rec_id", "line_no", F.lit("char").alias("kind"), "word")
-    return plain.unionByName(hyphens).unionByName(chars).distinct()
+    pieces = rows.filter("kind = 'hyphen'").select("src", "rec_id", "line_no", "a", "b")
+    pieces = pieces.unionByName(over.select("src", "rec_id", "line_no", "a", F.col("next").alias("b")))
+    hyphens = whole_words(pieces, model).withColumn("kind", F.lit("hyphen")).select(*cols)
+    tails = over.select("src", F.col("next_id").alias("rec_id"), F.col("next_no").alias("line_no"), F.lit("tail").alias("kind"), F.lit("").alias("a"), F.col("next").alias("b"), F.lit("").alias("word"))
+    tokens = rows.filter("kind = 'token'").drop("kind").withColumn("kind", F.lit("char"))
+    single = tokens.filter("a = 'l'").withColumn("word", F.lit("1")).select(*cols)
+    chars = tokens.join(model.fixes.withColumnRenamed("key", "a"), "a").select(*cols)
+    return plain.unionByName(hyphens).unionByName(tails).unionByName(chars).unionByName(single)
+
+
+def defects(pages: DataFrame, parts: DataFrame) -> DataFrame:
+    """(src, rec_id, line_no, kind, word): one row for each defect."""
+    all_texts = texts(pages, parts)
+    found = detail(all_texts, fit(all_texts, pages)).filter("kind <> 'tail'")
+    return found.select("src", "rec_id", "line_no", "kind", "word").distinct()
+
+
+# -- the repaired text ------------------------------------------------------------
+
+
+def _like(word: str, seen: str) -> str:
+    if seen.isupper() and len(seen) > 1:
+        return word.upper()
+    return word[:1].upper() + word[1:] if seen[:1].isupper() else word
+
+
+def rebuild(lines: list[str], edits: list[dict]) -> str:
+    """The lines as printed: furniture dropped, words whole, wrapped lines joined to paragraphs."""
+    gone, fix, carried, cut = set(), {}, {}, {}
+    for e in edits:
+        n, kind = e["line_no"], e["kind"]
+        if kind in ("header", "pageno"):
+            gone.add(n)
+        elif kind == "char":
+            fix.setdefault(n, {})[e["a"]] = e["word"]
+        elif kind == "hyphen":
+            carried[n] = e["word"]
+        else:
+            cut[n] = e["b"]
+    kept = [(n, x) for n, x in enumerate(lines, 1) if n not in gone]
+    width = max((len(x.rstrip()) for _, x in kept), default=0)
+    out: list[str] = []
+    glue, word = "", None
+    for n, line in kept:
+        if not line.strip():
+            if out and word is None and glue != " ":
+                glue = "\n\n"
+            elif word is None and out and re.search(r"[.?!:\]$}]\s*\Z", out[-1]):
+                glue = "\n\n"
+            continue
+        if n in cut and word is None:
+            line = re.sub(r"\A\s*" + re.escape(cut[n]), "", line)
+        if word is not None and (m := _TAIL.match(line)):
+            line, word = word + line[m.end() :], None
+            glue = " " if glue == "\n\n" else glue or " "
+        full = len(line.rstrip()) >= 0.8 * width
+        if n in carried and (m := _HEAD.search(line)):
+            line, word = line[: m.start()].rstrip(), _like(carried[n], m[1])
+        if n in fix:
+            f = fix[n]
+            line = TOKEN.sub(lambda m: _like(f[k], m[0]) if (k := token_key(m[0])) in f else m[0], line)
+        out.append(glue + line.strip() if out else line.strip())
+        glue = " " if full or word is not None else "\n"
+    if word is not None:
+        out.append(" " + word if out else word)
+    return "".join(out)
+
+
+def repaired(all_texts: DataFrame, model: Model) -> DataFrame:
+    """(src, rec_id, text): each text as continuous paragraphs; repeated rows once. Null and empty texts stay as they are."""
+    edit = F.struct("line_no", "kind", "a", "b", "word").alias("e")
+    by_text = detail(all_texts.filter("text is not null"), model).groupBy("src", "rec_id").agg(F.collect_list(edit).alias("edits"))
+    shared = all_texts.sparkSession.sparkContext.broadcast(model.reader.furniture)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r = Reader(shared.value)
+        for b in batches:
+            out = []
+            for text, edits, page in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist()):
+                if text and (edits or "\n" in text or "<" in text or not text.isascii()):
+                    text = rebuild(r.lines(text, page)[0], edits or [])
+                out.append(text)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], ["src", "rec_id", "text"])
+
+    joined = all_texts.dropDuplicates(["src", "rec_id"]).join(by_text, ["src", "rec_id"], "left").select("src", "rec_id", "text", "edits", "page")
+    return joined.mapInArrow(run, "src string, rec_id bigint, text string")
