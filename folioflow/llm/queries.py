@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import confusables, neardup, scanned
+from folioflow.llm import confusables, leaks, neardup, scanned, tokens
 from folioflow.session import table
 
 
@@ -45,5 +45,26 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return confusables.groups(table(spark, d, "parts"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_repaired, p4_found, p5_found, p5_groups)}
-SQL: dict[str, str] = {}
+def p6_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encoded(table(spark, d, "documents"))
+
+
+def p6_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """Round trip: (doc_id, text) decoded from the ids; null texts come back empty."""
+    return tokens.decoded(tokens.encoded(table(spark, d, "documents")))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p7_by_item(spark: SparkSession, d: str) -> DataFrame:
+    """Which items leaked, and into how many documents."""
+    items = table(spark, d, "eval_items").select("item_id", "suite").distinct()
+    return p7_found(spark, d).groupBy("item_id").agg(F.count("*").alias("documents")).join(items, "item_id").select("item_id", "suite", "documents")
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_repaired, p4_found, p5_found, p5_groups, p6_ids, p6_decoded, p7_found, p7_by_item)}
+SQL: dict[str, str] = {
+    "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+}
