@@ -88,17 +88,28 @@ def _one_script(word: str) -> str:
     return word
 
 
-def _word(m: re.Match) -> str:
-    w = m[0]
-    return w if w.isascii() else _one_script(w)
+#: Words with a letter that another script or shape may have lent.
+_ODD_WORD = re.compile(rf"[^\W\d_]*[{''.join(LATIN_SHAPES)}\u0370-\u03ff\u0400-\u052f\u0561-\u0587][^\W\d_]*")
+
+
+@lru_cache(maxsize=65536)
+def _nature(ch: str) -> int:
+    """0: needs nothing; 1: a letter whose word must be looked at; 2: the text must be mapped and composed."""
+    if ch.isascii():
+        return 0
+    if ord(ch) in usual_forms() or unicodedata.combining(ch) or unicodedata.normalize("NFC", ch) != ch:
+        return 2
+    return 1 if _ODD_WORD.match(ch) else 0
 
 
 def consistent(s: str) -> str:
     """The consistent form, but for words wholly in foreign letters (see open_words)."""
     if s.isascii():
         return s
-    s = unicodedata.normalize("NFC", s.translate(usual_forms()))
-    return _WORD.sub(_word, s)
+    nature = max(map(_nature, set(s)))
+    if nature == 2:
+        s = unicodedata.normalize("NFC", s.translate(usual_forms()))
+    return _ODD_WORD.sub(lambda m: _one_script(m[0]), s) if nature else s
 
 
 def open_words(s: str) -> list[str]:

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -83,22 +84,25 @@ def furniture_key(word: str) -> str:
 def furniture_words(pages: DataFrame) -> set[str]:
     """Words that stand in the edge lines of pages, over all pages.
 
-    A word must be in at least one line per thousand pages (and six lines) at
-    an edge, so there are at most 1000 times the words of a page's edges.
+    A word must stand at least once per thousand pages (and six times) at an
+    edge, so there are at most 1000 times the words of a page's edges.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            edge: dict[str, list[int]] = {}
+            raw = (Counter(), Counter())
             for text in b.column(0).to_pylist():
-                lines = [x for x in text.split("\n") if x.strip() and not x.lstrip().startswith("<")]
+                lines = [x for x in text.split("\n") if x and not x.isspace() and x[0] != "<"]
                 n = len(lines)
-                for i, line in enumerate(lines):
-                    at = 0 if i < EDGE or i >= n - EDGE else 1
-                    for k in {furniture_key(w) for w in line.split()}:
-                        if k:
-                            edge.setdefault(k, [0, 0])[at] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(edge), pa.string()), pa.array([x[0] for x in edge.values()], pa.int64()), pa.array([x[1] for x in edge.values()], pa.int64())], ["word", "at_edge", "inside"])
+                middle = lines[EDGE : n - EDGE] if n > 2 * EDGE else []
+                raw[0].update(" ".join(lines if n <= 2 * EDGE else lines[:EDGE] + lines[n - EDGE :]).split())
+                raw[1].update(" ".join(middle).split())
+            counts: dict[str, list[int]] = {}
+            for at in (0, 1):
+                for w, n in raw[at].items():
+                    if k := furniture_key(w):
+                        counts.setdefault(k, [0, 0])[at] += n
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([x[0] for x in counts.values()], pa.int64()), pa.array([x[1] for x in counts.values()], pa.int64())], ["word", "at_edge", "inside"])
 
     markdown = pages.select("markdown").filter("markdown is not null")
     counts = markdown.mapInArrow(run, "word string, at_edge bigint, inside bigint").groupBy("word").agg(F.sum("at_edge").alias("e"), F.sum("inside").alias("i"))
@@ -132,8 +136,7 @@ class Furniture:
             self.known[key] = any(_near(key, w) for w in longer)
         return self.known[key]
 
-    def header(self, line: str) -> bool:
-        words = line.split()
+    def header(self, words: list[str]) -> bool:
         if not words or len(words) > 14:
             return False
         keys = [k for w in words if (k := furniture_key(w))]
@@ -142,20 +145,23 @@ class Furniture:
         like = [k for k in keys if self.like(k)]
         return sum(map(len, like)) >= 0.7 * sum(map(len, keys)) and (len(set(like)) >= 2 or "9999/" in like[0])
 
-    def kinds(self, lines: list[str], page: int | None) -> list[str]:
-        """header, pageno or '' for each line."""
-        out = []
-        for line in lines:
-            s = line.strip()
-            if not s or s[0] == "<":
-                out.append("")
-            elif len(s) < 24 and _PAGENO.match(s):
-                out.append("pageno")
-            else:
-                out.append("header" if self.header(s) else "")
+    def kinds(self, lines: list[str], page: int | None, plain: set[str] = frozenset()) -> list[str]:
+        """header, pageno or '' for each line. plain: words known to be no furniture."""
+        out, bare = [], []
         for i, line in enumerate(lines):
-            s = line.strip()
-            if len(s) < 5 and _BARE.match(s) and page is not None and int(s) == page + 1 and not self._listed(lines, out, i):
+            kind, n = "", len(line)
+            if n > 60 and plain.issuperset(words := line.split()) or not n:
+                pass
+            elif (s := line.strip()) and s[0] != "<":
+                if len(s) < 24 and _PAGENO.match(s):
+                    kind = "pageno"
+                elif not plain.issuperset(words := s.split()) and self.header(words):
+                    kind = "header"
+                elif len(s) < 5 and _BARE.match(s):
+                    bare.append(i)
+            out.append(kind)
+        for i in bare:
+            if page is not None and int(lines[i]) == page + 1 and not self._listed(lines, out, i):
                 out[i] = "pageno"
         return out
 
@@ -266,17 +272,37 @@ class Reader:
 
     def __post_init__(self):
         self.f = Furniture(self.furniture)
+        #: Words as they stand, punctuation included, that are neither furniture nor suspect. A cache, emptied when it is large.
+        self.plain: set[str] = set()
 
     def maybe(self, key: str) -> bool:
         h = zlib.crc32(key.encode()) & self.mask
         return bool(self.bits[h >> 3] >> (h & 7) & 1)
 
+    def suspect(self, token: str) -> str:
+        """The key of a token that may be misread, else ''."""
+        if token in self.common:
+            return ""
+        k = token_key(token)
+        return k if k not in self.common and (k == "l" or self.maybe(k)) else ""
+
+    def learn(self, words: list[str]) -> bool:
+        """Whether all words are plain."""
+        if len(self.plain) > 300_000:
+            self.plain.clear()
+        new = [w for w in words if w not in self.plain]
+        good = [w for w in new if furniture_key(w) not in self.furniture and not any(self.suspect(t) for t in TOKEN.findall(w))]
+        self.plain.update(good)
+        return len(good) == len(new)
+
     def lines(self, text: str, page: int | None) -> tuple[list[str], list[str]]:
         """The lines in their consistent form without tags, and their kinds."""
         if not text.isascii():
-            text = consistent(re.sub(r"­(?=[ \t\r]*(?:\n|\Z))", "¬", text))
+            if "­" in text:
+                text = re.sub(r"­(?=[ \t\r]*(?:\n|\Z))", "¬", text)
+            text = consistent(text)
         raw = text.split("\n")
-        kinds = self.f.kinds(raw, page)
+        kinds = self.f.kinds(raw, page, self.plain)
         return [TAGS.sub(" ", x) if "<" in x else x for x in raw], kinds
 
     def scan(self, text: str, page: int | None) -> list[tuple[int, str, str, str]]:
@@ -285,7 +311,6 @@ class Reader:
         out: list[tuple[int, str, str, str]] = []
         open_: tuple[int, str] | None = None
         seen = False
-        common = self.common
         for no, (line, kind) in enumerate(zip(lines, kinds), 1):
             if kind:
                 out.append((no, kind, "", ""))
@@ -306,14 +331,12 @@ class Reader:
             if line.rstrip()[-1:] in _MARKS and (m := _HEAD.search(line)):
                 open_ = (no, m[1])
                 end = m.start()
+            words = line[begin:end].split()
+            if self.plain.issuperset(words) or self.learn(words):
+                continue
             for m in TOKEN.finditer(line, begin, end):
-                t = m[0]
-                if t in common:
-                    continue
-                k = token_key(t)
-                if k in common or not (k == "l" or self.maybe(k)):
-                    continue
-                if _TERM.match(k) and (line.count("$", 0, m.start()) % 2 or not _WORD_BEFORE.search(line, 0, m.start()) or not _WORD_AFTER.match(line, m.end())):
+                k = self.suspect(m[0])
+                if not k or _TERM.match(k) and (line.count("$", 0, m.start()) % 2 or not _WORD_BEFORE.search(line, 0, m.start()) or not _WORD_AFTER.match(line, m.end())):
                     continue
                 out.append((no, "token", k, ""))
         if open_:
