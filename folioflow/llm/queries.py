@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import confusables, leaks, neardup, scanned, tokens
-from folioflow.session import table
+from folioflow.llm import confusables, languages, leaks, neardup, scanned, tokens
+from folioflow.session import cut_lineage, table
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -64,7 +64,25 @@ def p7_by_item(spark: SparkSession, d: str) -> DataFrame:
     return p7_found(spark, d).groupBy("item_id").agg(F.count("*").alias("documents")).join(items, "item_id").select("item_id", "suite", "documents")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_repaired, p4_found, p5_found, p5_groups, p6_ids, p6_decoded, p7_found, p7_by_item)}
+def p8_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Every segment of every document, with its confidence."""
+    rows = languages.document_segments(table(spark, d, "documents"), table(spark, d, "lang_samples"))
+    return rows.select("doc_id", "label", "seg_no", "lang", "confidence", "letters")
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = languages.document_segments(table(spark, d, "documents"), table(spark, d, "lang_samples"))
+    return languages.needs_label(cut_lineage(rows.drop("text"))).select("doc_id", "seg_no", "lang")
+
+
+def p8_documents(spark: SparkSession, d: str) -> DataFrame:
+    """One language with a confidence for each document: that of most of its letters."""
+    rows = p8_segments(spark, d).groupBy("doc_id", "lang").agg(F.sum("letters").alias("n"), F.sum(F.col("confidence") * F.col("letters")).alias("c"))
+    best = rows.groupBy("doc_id").agg(F.max_by("lang", F.struct("n", "lang")).alias("lang"), F.max_by("c", F.struct("n", "lang")).alias("c"), F.sum("n").alias("n"))
+    return best.select("doc_id", "lang", F.round(F.col("c") / F.col("n"), 4).alias("confidence"))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_repaired, p4_found, p5_found, p5_groups, p6_ids, p6_decoded, p7_found, p7_by_item, p8_found, p8_segments, p8_documents)}
 SQL: dict[str, str] = {
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
