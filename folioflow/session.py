@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,16 +24,23 @@ def local_session(cores: int = 8, partitions: int = 8, memory: str = "8g") -> Sp
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; only where it is unset (tests, a single machine) a temporary one."""
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="folioflow-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder that the session names.
+    """df as a table written in the shared folder and read again.
 
-    Only where spark.checkpoint.dir is unset (tests, a single machine) a
-    temporary folder is used.
+    All executors share the folder, so a lost one costs nothing. A columnar
+    table is smaller than a checkpoint, and later reads take only their columns.
     """
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="folioflow-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
