@@ -19,13 +19,13 @@ def question_numbers(words: DataFrame) -> DataFrame:
     """(doc_id, page, number, y): one- and two-digit words in the left margin, above the foot, of readable height."""
     w = strip(F.coalesce("word", F.lit("")))
     ok = w.rlike(r"^\d{1,2}$") & (F.col("x0") < 0.12 * F.col("width")) & (F.col("y1") < 0.92 * F.col("height")) & (F.col("y1") - F.col("y0") >= 6)
-    return words.filter(ok).select(*_PAGE, w.cast("int").alias("number"), F.col("y0").alias("y"))
+    return words.filter(ok).select(*_PAGE, w.try_cast("int").alias("number"), F.col("y0").alias("y"))
 
 
 def mark_words(words: DataFrame) -> DataFrame:
     """(doc_id, page, mark, y, x): words that are exactly [N]."""
     m = F.regexp_extract(strip(F.coalesce("word", F.lit(""))), r"^\[(\d{1,2})\]$", 1)
-    return words.withColumn("m", m).filter("m <> ''").select(*_PAGE, F.col("m").cast("int").alias("mark"), F.col("y0").alias("y"), F.col("x0").alias("x"))
+    return words.withColumn("m", m).filter("m <> ''").select(*_PAGE, F.col("m").try_cast("int").alias("mark"), F.col("y0").alias("y"), F.col("x0").alias("x"))
 
 
 def band_marks(words: DataFrame) -> DataFrame:

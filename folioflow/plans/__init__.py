@@ -1,3 +1,3 @@
 """Registered queries; each module has QUERIES and SQL."""
 
-MODULES = ["problems", "documents"]
+MODULES = ["documents", "positions", "responses", "problems"]
