@@ -73,6 +73,7 @@ def page_words(pdfs: DataFrame) -> DataFrame:
 
 def read_datasets(spark: SparkSession, folder: str, keep_broken: bool = False) -> DataFrame:
     """Dataset JSON files with `path`. Unreadable files are left out, or kept with `broken` for a report."""
-    raw = spark.read.schema(DATASET + ", _corrupt_record string").option("multiLine", True).option("mode", "PERMISSIVE").option("pathGlobFilter", "*.json").json(folder)
-    rows = raw.withColumn("path", F.col("_metadata.file_path")).withColumn("broken", F.col("_corrupt_record").isNotNull()).drop("_corrupt_record")
+    raw = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+    parsed = raw.select("path", F.from_json("value", DATASET + ", _corrupt_record string", {"mode": "PERMISSIVE"}).alias("d"))
+    rows = parsed.select("d.*", "path").withColumn("broken", F.col("_corrupt_record").isNotNull()).drop("_corrupt_record")
     return rows if keep_broken else rows.filter("not broken").drop("broken")
