@@ -1,12 +1,12 @@
 """Near-duplicate texts: sets of three-word sequences that are alike.
 
 Equal texts form one class with one representative. Candidates among the
-representatives come from min-hash bands. For each candidate pair the pivot
-table decides first: the Hamming distances of both hashed shingle vectors to
-PIVOTS reference fingerprints were computed beforehand, and a pair with a
-coordinate difference above the distance that the threshold allows can't be
-similar (triangle inequality; hashing only shortens distances, so this loses
-nothing). Survivors are verified on the shingle sets.
+representatives come from min-hash bands. Each representative has a
+fingerprint and a pivot table: its Hamming distances to PIVOTS reference
+fingerprints, computed beforehand. A candidate pair is discarded if the pivot
+tables differ somewhere by more than the allowed distance (triangle
+inequality), then by the distance itself; survivors are verified on the
+shingle sets.
 
 Pivot distances alone can't find the candidates at a similarity of 0.4: the
 allowed distance is larger than nearly all coordinate differences between
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +30,12 @@ from pyspark.sql import functions as F
 
 from folioflow.session import cut_lineage
 
-#: A pair of similarity s is a candidate with probability 1 - (1 - s^ROWS)^BANDS: 0.98 at 0.5, 0.9998 at 0.6.
-BANDS, ROWS = 64, 4
-PIVOTS, BITS = 64, 1024
+#: A pair of similarity s is a candidate with probability 1 - (1 - s^ROWS)^BANDS: 0.955 at 0.5, 0.9987 at 0.6, 0.99999 at 0.7.
+BANDS, ROWS = 48, 4
+#: Reference fingerprints, and bits of a fingerprint: its bits are one bit each of as many min-hashes.
+PIVOTS, BITS = 32, 256
+#: Standard deviations above the expected distance of a pair at the threshold up to which it is kept.
+SLACK = 4.0
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -51,29 +55,43 @@ def _permutations(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, top, n, dtype=np.uint64) | np.uint64(1), rng.integers(0, top, n, dtype=np.uint64)
 
 
-def band_keys(s: np.ndarray, perms: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """A 64-bit key per band, the band's number mixed in."""
+def minhashes(s: np.ndarray, perms: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     a, b = perms
-    low = ((s.astype(np.uint64)[:, None] * a + b) >> np.uint64(24)).min(axis=0).reshape(BANDS, ROWS)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((s.astype(np.uint64)[:, None] * a + b) >> np.uint64(24)).min(axis=0)
+
+
+def band_keys(low: np.ndarray) -> np.ndarray:
+    """A key per band: its number above 32 hashed bits of its min-hashes."""
+    low = low[: BANDS * ROWS].reshape(BANDS, ROWS)
+    key = np.full(BANDS, 0x9E3779B97F4A7C15, np.uint64)
     for i in range(ROWS):
         key = (key ^ low[:, i]) * np.uint64(0xFF51AFD7ED558CCD)
         key ^= key >> np.uint64(29)
-    return key.view(np.int64)
+    return (np.arange(BANDS, dtype=np.int64) << 32) | (key >> np.uint64(32)).astype(np.int64)
+
+
+def fingerprint(low: np.ndarray) -> np.ndarray:
+    """BITS bits: the parity of mixed min-hashes, equal for equal min-hashes, else by chance."""
+    mixed = low[:BITS] * np.uint64(0x9E3779B97F4A7C15)
+    return np.packbits((mixed >> np.uint64(63)).astype(np.uint8))
 
 
 def reference_fingerprints(seed: int = 5) -> np.ndarray:
-    """PIVOTS bit vectors: nothing set, and random halves."""
-    rng = np.random.default_rng(seed)
-    p = rng.integers(0, 2, (PIVOTS, BITS), dtype=np.int32)
-    p[0] = 0
-    return p
+    """The PIVOTS reference fingerprints as bytes."""
+    return np.random.default_rng(seed).integers(0, 256, (PIVOTS, BITS // 8), dtype=np.uint8)
+
 
+_ONES = np.array([bin(i).count("1") for i in range(256)], np.uint16)
 
-def pivot_distances(s: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Hamming distances of the hashed shingle vector to each reference fingerprint."""
-    at = np.unique(s % BITS)
-    return (pivots.sum(axis=1) + len(at) - 2 * pivots[:, at].sum(axis=1)).astype("<u2")
+
+def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return _ONES[a ^ b].sum(axis=-1)
+
+
+def allowed_distance(threshold: float) -> float:
+    """Distance of fingerprints up to which a pair at the threshold is kept: its mean and SLACK deviations."""
+    p = (1 - threshold) / 2
+    return BITS * p + SLACK * (BITS * p * (1 - p)) ** 0.5
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -97,57 +115,82 @@ def classes(texts: DataFrame, least: int) -> DataFrame:
 
 
 def profiles(reps: DataFrame, k: int) -> DataFrame:
-    """(field, rep, n, shingles, pivots, bands) of each representative."""
+    """(field, rep, shingles, print, pivots, bands) of each representative."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        perms, pivots = _permutations(BANDS * ROWS), reference_fingerprints()
+        perms, pivots = _permutations(max(BANDS * ROWS, BITS)), reference_fingerprints()
         for b in batches:
-            sets = [shingles(w.split(" "), k) for w in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([pivot_distances(s, pivots).tobytes() for s in sets], pa.binary()), pa.array([band_keys(s, perms).tolist() for s in sets], pa.list_(pa.int64()))],
-                ["field", "rep", "shingles", "pivots", "bands"],
-            )
+            sets, prints, distances, bands = [], [], [], []
+            for w in b.column(2).to_pylist():
+                s = shingles(w.split(" "), k)
+                low = minhashes(s, perms)
+                f = fingerprint(low)
+                sets.append(s.tobytes())
+                prints.append(f.tobytes())
+                distances.append(hamming(pivots, f).astype("<u2").tobytes())
+                bands.append(band_keys(low).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, pa.binary()) for x in (sets, prints, distances, bands))], ["field", "rep", "shingles", "print", "pivots", "bands"])
 
-    return reps.select("field", "rep", "words").mapInArrow(run, "field string, rep bigint, shingles binary, pivots binary, bands array<bigint>")
+    return reps.select("field", "rep", "words").mapInArrow(run, "field string, rep bigint, shingles binary, print binary, pivots binary, bands binary")
+
+
+def band_rows(profile: DataFrame) -> DataFrame:
+    """(key, rep): the field is mixed into the key, and told apart again by the join with the profiles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            mix = np.array([zlib.crc32(f.encode()) for f in b.column(0).to_pylist()], np.int64)
+            keys = np.frombuffer(b"".join(b.column(2).to_pylist()), np.int64).reshape(b.num_rows, BANDS) ^ mix[:, None]
+            rep = np.repeat(b.column(1).to_numpy(zero_copy_only=False), BANDS)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(rep)], ["key", "rep"])
+
+    return profile.select("field", "rep", "bands").mapInArrow(run, "key bigint, rep bigint")
 
 
 def candidates(profile: DataFrame) -> DataFrame:
-    """(field, a, b) with a < b that share a band. Only keys with company are joined."""
-    keys = profile.select("field", "rep", F.explode("bands").alias("key"))
+    """(a, b) with a < b that share a band."""
+    keys = band_rows(profile)
     a, b = keys.alias("a"), keys.alias("b")
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.field") == F.col("b.field")) & (F.col("a.rep") < F.col("b.rep")))
-    return pairs.select(F.col("a.field").alias("field"), F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
+    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") < F.col("b.rep"))).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, profile: DataFrame, threshold: float, measure: bool = False) -> DataFrame:
-    """The candidate pairs of at least the threshold: (field, a, b, similarity).
+def near_by_prints(pairs: DataFrame, profile: DataFrame, threshold: float, measure: bool = False) -> DataFrame:
+    """The candidates whose fingerprints are near: the pivot table discards first, the distance itself then.
 
-    With measure, all pairs come back with `stage`: pivot (discarded by the
-    pivot table), set (discarded by its shingles) or kept.
+    With measure, all pairs come back with `stage`: pivot, distance or kept.
     """
-    side = lambda x: profile.select("field", F.col("rep").alias(x), F.col("shingles").alias(f"s_{x}"), F.col("pivots").alias(f"p_{x}"))
-    wide = pairs.join(side("a"), ["field", "a"]).join(side("b"), ["field", "b"]).select("field", "a", "b", "s_a", "s_b", "p_a", "p_b")
+    side = lambda x: profile.select("field", F.col("rep").alias(x), F.col("print").alias(f"f_{x}"), F.col("pivots").alias(f"p_{x}"))
+    wide = pairs.join(side("a"), "a").join(side("b"), ["field", "b"]).select("field", "a", "b", "f_a", "f_b", "p_a", "p_b")
+    most = allowed_distance(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            sa, sb = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            pa_, pb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(n, PIVOTS).astype(np.int32) for c in (5, 6))
-            size = np.array([len(x) + len(y) for x, y in zip(sa, sb)]) // 4
-            allowed = np.floor(size * (1 - threshold) / (1 + threshold) + 1e-9)
-            near = np.abs(pa_ - pb).max(axis=1, initial=0) <= allowed
-            sim = np.zeros(n)
-            for i in np.flatnonzero(near):
-                sim[i] = jaccard(np.frombuffer(sa[i], "<u4"), np.frombuffer(sb[i], "<u4"))
-            kept = sim >= threshold
-            stage = np.where(kept, "kept", np.where(near, "set", "pivot"))
+            read = lambda c, t: np.frombuffer(b"".join(batch.column(c).to_pylist()), t).reshape(n, -1)  # noqa: B023, E731
+            near = np.abs(read(5, "<u2").astype(np.int32) - read(6, "<u2")).max(axis=1, initial=0) <= most
+            kept = near & (hamming(read(3, np.uint8), read(4, np.uint8)) <= most)
+            stage = np.where(kept, "kept", np.where(near, "distance", "pivot"))
             at = pa.array(np.arange(n) if measure else np.flatnonzero(kept), pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in range(3)), pa.array(sim).take(at), pa.array(stage.tolist(), pa.string()).take(at)], ["field", "a", "b", "similarity", "stage"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in range(3)), pa.array(stage.tolist(), pa.string()).take(at)], ["field", "a", "b", "stage"])
 
-    out = wide.mapInArrow(run, "field string, a bigint, b bigint, similarity double, stage string")
+    out = wide.mapInArrow(run, "field string, a bigint, b bigint, stage string")
     return out if measure else out.drop("stage")
 
 
+def verified(pairs: DataFrame, profile: DataFrame, threshold: float) -> DataFrame:
+    """The survivors of at least the threshold by their shingle sets: (field, a, b, similarity)."""
+    side = lambda x: profile.select("field", F.col("rep").alias(x), F.col("shingles").alias(f"s_{x}"))
+    wide = pairs.join(side("a"), ["field", "a"]).join(side("b"), ["field", "b"]).select("field", "a", "b", "s_a", "s_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sim = np.array([jaccard(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")) for x, y in zip(b.column(3).to_pylist(), b.column(4).to_pylist())], np.float64)
+            at = pa.array(np.flatnonzero(sim >= threshold), pa.int64())
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in range(3)), pa.array(sim).take(at)], ["field", "a", "b", "similarity"])
+
+    return wide.mapInArrow(run, "field string, a bigint, b bigint, similarity double")
+
+
 def near_duplicates(texts: DataFrame, threshold: float = 0.8, k: int = 5, least: int = 1) -> tuple[DataFrame, DataFrame]:
     """Pairs of class representatives (field, a, b, similarity) and membership (field, id, rep).
 
@@ -156,7 +199,7 @@ def near_duplicates(texts: DataFrame, threshold: float = 0.8, k: int = 5, least:
     members = cut_lineage(classes(texts, max(least, k)))
     reps = members.groupBy("field", "class_id").agg(F.min("id").alias("rep"), F.first("words").alias("words"))
     profile = cut_lineage(profiles(reps, k))
-    pairs = verified(candidates(profile), profile, threshold)
+    pairs = verified(near_by_prints(candidates(profile), profile, threshold), profile, threshold)
     membership = members.select("field", "id", "class_id").distinct().join(reps.select("field", "class_id", "rep"), ["field", "class_id"]).select("field", "id", "rep")
     return pairs, membership
 
