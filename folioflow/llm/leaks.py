@@ -15,6 +15,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,27 +41,34 @@ UNITS = frozenset(
 )
 
 
+@lru_cache(maxsize=200_000)
+def _token(w: str) -> tuple[str, str]:
+    """The folded word and its template, `^` for a capitalised word that may be a name."""
+    low = w.lower()
+    if not low.isascii():
+        low = "".join(c for c in unicodedata.normalize("NFKD", low) if not unicodedata.combining(c))
+    if any(c.isdigit() for c in low):
+        return low, "#n"
+    if low in UNITS:
+        return low, "#u"
+    return low, "^" if w[0].isupper() and not w.isupper() else low
+
+
 def tokens(text: str) -> list[tuple[str, str]]:
     """(word, template) of the runs of letters or digits: the word folded, the template with typed placeholders."""
     text = consistent(_MARKUP.sub(" ", text)) if "<" in text or "&" in text else consistent(text)
     out = []
     for m in _WORD.finditer(text):
-        w = m[0]
-        low = w.lower()
-        if not low.isascii():
-            low = "".join(c for c in unicodedata.normalize("NFKD", low) if not unicodedata.combining(c))
-        if any(c.isdigit() for c in low):
-            t = "#n"
-        elif low in UNITS:
-            t = "#u"
-        elif w[0].isupper() and not w.isupper() and not _begins_sentence(text, m.start()):
-            t = "#p"
-        else:
-            t = low
-        out.append((low, t))
+        low, t = pair = _token(m[0])
+        out.append(pair if t != "^" else (low, low if _begins_sentence(text, m.start()) else "#p"))
     return out
 
 
+@lru_cache(maxsize=200_000)
+def _hash(template: str) -> int:
+    return zlib.crc32(template.encode())
+
+
 def _begins_sentence(text: str, at: int) -> bool:
     before = text[max(0, at - 6) : at].rstrip(" \t\r\n\"'«“([*_-")
     return not before or before[-1] in ".?!:;>$" or "\n\n" in text[max(0, at - 6) : at]
@@ -71,7 +79,7 @@ def window_hashes(templates: list[str], w: int = WINDOW) -> np.ndarray:
     n = len(templates) - w + 1
     if n <= 0:
         return np.empty(0, np.int64)
-    h = np.array([zlib.crc32(t.encode()) for t in templates], np.uint64)
+    h = np.fromiter(map(_hash, templates), np.uint64, len(templates))
     out = np.zeros(n, np.uint64)
     for i in range(w):
         out = (out ^ h[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
