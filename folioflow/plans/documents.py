@@ -10,7 +10,7 @@ from folioflow.functions import math as m
 from folioflow.functions import text as t
 from folioflow.operators import datasets as ds
 from folioflow.operators import parts as p
-from folioflow.operators import tables
+from folioflow.operators import layout, tables, validate
 from folioflow.session import table
 
 
@@ -155,6 +155,10 @@ def merged_boxes(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("page_id", (F.col("i") + 1).alias("n"), *[F.round(F.col(f"b.{c}"), 4).alias(c) for c in g.CORNERS])
 
 
+def rescue_regions(spark: SparkSession, d: str) -> DataFrame:
+    return layout.rescue_regions(_pages(spark, d)).select("page_id", "region_no", "rescue", F.round("box.y0", 4).alias("y0"))
+
+
 def large_figures(spark: SparkSession, d: str) -> DataFrame:
     rows = _pages(spark, d).select("page_id", "doc_id", "page", "width", "height", F.posexplode(g.large_figures(F.col("elements"), F.col("width"), F.col("height"))).alias("i", "b"))
     area = F.round(g.area_fraction(F.col("b"), F.col("width"), F.col("height")), 6)
@@ -303,6 +307,11 @@ def question_paper_against_scheme(spark: SparkSession, d: str) -> DataFrame:
     return both.select("paper", "series", "id", "asked", "given", F.coalesce(F.col("asked") == F.col("given"), F.lit(False)).alias("equal"))
 
 
+def sanitized_datasets(spark: SparkSession, d: str) -> DataFrame:
+    rows = validate.sanitized_datasets(table(spark, d, "datasets"))
+    return rows.select("dataset_id", F.to_json("questions").alias("questions"), F.size("latex_repairs").alias("repairs"))
+
+
 def dataset_markdown(spark: SparkSession, d: str) -> DataFrame:
     return _one(spark, d, "datasets", "dataset_id").select("dataset_id", ds.dataset_markdown().alias("markdown"))
 
@@ -311,10 +320,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         paper_totals, front_matter, clean_lines, page_lines, meaningful_text, number_injection, question_blocks, question_parts, merged_parts, document_parts, carried_numbers,
-        assembled_datasets, dropped_stems, stem_parts, table_cells, markscheme_parts, spliced_tables, layout_elements, denormalised_boxes, box_overlaps, merged_boxes, large_figures,
+        assembled_datasets, dropped_stems, stem_parts, table_cells, markscheme_parts, spliced_tables, layout_elements, denormalised_boxes, box_overlaps, merged_boxes, rescue_regions, large_figures,
         attached_figures, replaced_signs, dollar_counts, math_segments, rejoined_math, mended_delimiters, balanced_braces, repaired_math, sanitized_math, escaped_html, literal_text,
         filename_meta, asset_names, cache_keys, cache_misses, question_index, built_paper, missing_selections, build_summary, custom_paper_markdown, custom_paper_html, health_report,
-        health_texts, duplicate_ids, verdict_rollup, worst_verdict, question_paper_against_scheme, dataset_markdown,
+        health_texts, duplicate_ids, verdict_rollup, worst_verdict, question_paper_against_scheme, dataset_markdown, sanitized_datasets,
     )
 }
 
@@ -435,6 +444,9 @@ SQL = {
       gr AS (SELECT page_id, n, a, b.x0 AS x0, b.y0 - (b.y1 - b.y0) AS y0, b.x1 AS x1, b.y1 AS y1 FROM bx WHERE b IS NOT NULL),
       io AS (SELECT page_id, n, greatest(0.0, least(a.x1, x1) - greatest(a.x0, x0)) * greatest(0.0, least(a.y1, y1) - greatest(a.y0, y0)) AS i, (a.x1 - a.x0) * (a.y1 - a.y0) + (x1 - x0) * (y1 - y0) AS s FROM gr)
       SELECT page_id, n, round(CASE WHEN s - i > 0 THEN i / (s - i) ELSE 0 END, 6) AS iou FROM io""",
+    "rescue_regions": f"""WITH {_boxes("('table', 'table_full')")}, {_CELLS.replace(_PG + ",", "", 1).lstrip()},
+      sc AS (SELECT DISTINCT doc_id, page FROM rc WHERE row_no = 0 AND list_contains(list_transform(cells, lambda x: lower(x)), 'question') AND list_contains(list_transform(cells, lambda x: lower(x)), 'answer'))
+      SELECT page_id, CAST(n AS INTEGER) AS region_no, (s.doc_id IS NULL AND (x1 - x0) * (y1 - y0) / (width * height) <= 0.5) AS rescue, round(y0, 4) AS y0 FROM dn LEFT JOIN sc s USING (doc_id, page)""",
     "large_figures": f"WITH {_FIGS} SELECT page_id, fig_no, doc_id || '_p' || page || '_fig' || fig_no || '.png' AS asset, round(area, 6) AS area FROM big",
     "attached_figures": f"""WITH {_FIGS}, {_PARTS.replace(_PG + ",", "", 1).lstrip()}, np AS (SELECT page_id, count(*) AS n_parts FROM parts_ GROUP BY page_id)
       SELECT b.doc_id, b.page, p.ord - 1 AS part_no, p.id, b.fig_no, b.doc_id || '_p' || b.page || '_fig' || b.fig_no || '.png' AS asset
