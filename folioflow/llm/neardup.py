@@ -22,6 +22,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from folioflow.session import cut_lineage
 #: A pair of similarity s is a candidate with probability 1 - (1 - s^ROWS)^BANDS: 0.955 at 0.5, 0.9987 at 0.6, 0.99999 at 0.7.
 BANDS, ROWS = 48, 4
 #: Reference fingerprints, and bits of a fingerprint: its bits are one bit each of as many min-hashes.
-PIVOTS, BITS = 32, 256
+PIVOTS, BITS = 32, 192
 #: Standard deviations above the expected distance of a pair at the threshold up to which it is kept.
 SLACK = 4.0
 _WORD = re.compile(r"[^\W_]+")
@@ -43,21 +44,38 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+@lru_cache(maxsize=500_000)
+def _word_hash(w: str) -> int:
+    return int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
+
+
 def shingles(ws: list[str], k: int = 3) -> np.ndarray:
-    """Hashes of the distinct sequences of k words, sorted."""
-    h = {hashlib.blake2b(" ".join(ws[i : i + k]).encode(), digest_size=4).digest() for i in range(len(ws) - k + 1)}
-    return np.sort(np.frombuffer(b"".join(h), "<u4"))
+    """Hashes of the distinct sequences of k words, sorted, mixed from one 64-bit hash per word."""
+    n = len(ws) - k + 1
+    h = np.fromiter(map(_word_hash, ws), np.uint64, len(ws))
+    out = np.zeros(n, np.uint64)
+    for i in range(k):
+        out = (out ^ h[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(32)
+    return np.unique((out >> np.uint64(32)).astype("<u4"))
 
 
 def _permutations(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
-    top = np.iinfo(np.uint64).max
-    return rng.integers(0, top, n, dtype=np.uint64) | np.uint64(1), rng.integers(0, top, n, dtype=np.uint64)
+    return rng.integers(0, 1 << 32, n, dtype=np.uint32) | np.uint32(1), rng.integers(0, 1 << 32, n, dtype=np.uint32)
 
 
 def minhashes(s: np.ndarray, perms: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The least 32-bit hash of the set under each permutation. Without the second mixing step they would depend on one another."""
     a, b = perms
-    return ((s.astype(np.uint64)[:, None] * a + b) >> np.uint64(24)).min(axis=0)
+    h = s.astype(np.uint32)[:, None] * a
+    t = h >> np.uint32(15)
+    t ^= b
+    h ^= t
+    h *= np.uint32(0x85EBCA6B)
+    np.right_shift(h, np.uint32(13), out=t)
+    h ^= t
+    return h.min(axis=0).astype(np.uint64)
 
 
 def band_keys(low: np.ndarray) -> np.ndarray:
@@ -212,3 +230,27 @@ def all_pairs(pairs: DataFrame, membership: DataFrame) -> DataFrame:
     across = pairs.join(m.select("field", F.col("rep").alias("a"), F.col("id").alias("i")), ["field", "a"]).join(m.select("field", F.col("rep").alias("b"), F.col("id").alias("j")), ["field", "b"])
     both = same.unionByName(across.select("field", "i", "j"))
     return both.select("field", F.least("i", "j").alias("id_a"), F.greatest("i", "j").alias("id_b")).distinct()
+
+
+def groups(pairs: DataFrame, membership: DataFrame) -> DataFrame:
+    """(field, id, group_id, links): the connected groups, one row per id; copies share class and links.
+
+    Labels spread along the links and jump to their label's label, so the
+    rounds grow with the logarithm of a chain's length. Each round is written
+    as a table; only the number of changes comes to the driver.
+    """
+    links = cut_lineage(pairs.select("field", "a", "b").unionByName(pairs.select("field", F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = links.select("field", F.col("a").alias("rep")).distinct().withColumn("label", F.col("rep"))
+    while True:
+        labels = cut_lineage(labels)
+        of = labels.select("field", F.col("rep").alias("b"), F.col("label").alias("next"))
+        least = links.join(of, ["field", "b"]).groupBy("field", F.col("a").alias("rep")).agg(F.min("next").alias("next"))
+        near = labels.join(least, ["field", "rep"]).select("field", "rep", F.col("label").alias("old"), F.least("label", "next").alias("label"))
+        jump = labels.select("field", F.col("rep").alias("label"), F.col("label").alias("far"))
+        new = cut_lineage(near.join(jump, ["field", "label"], "left").select("field", "rep", "old", F.coalesce(F.least("label", "far"), F.col("label")).alias("label")))
+        if new.filter("label <> old").isEmpty():
+            break
+        labels = new.select("field", "rep", "label")
+    n = links.groupBy("field", F.col("a").alias("rep")).agg(F.count("*").alias("links"))
+    out = membership.join(labels, ["field", "rep"], "left").join(n, ["field", "rep"], "left")
+    return out.select("field", "id", F.coalesce("label", "rep").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links"))

@@ -27,7 +27,8 @@ def _part_texts(spark: SparkSession, d: str) -> DataFrame:
     """(field, id, text) of parts, as printed and in one form of characters."""
     pages = table(spark, d, "ocr_pages")
     texts = scanned.part_texts(table(spark, d, "parts")).filter("text is not null")
-    long_ = texts.filter(F.length("text") >= 2 * P4["least"] - 1)
+    # repair never makes more words, so texts of too few words as they stand need none
+    long_ = texts.filter(F.regexp_count("text", F.lit(r"[\p{L}\p{N}]+")) >= P4["least"])
     whole = scanned.repaired(long_, scanned.fit(texts, pages))
     return whole.select(F.substring_index("src", ".", -1).alias("field"), F.col("rec_id").alias("id"), "text")
 
@@ -37,6 +38,12 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return found.select("field", F.col("id_a").alias("part_id_a"), F.col("id_b").alias("part_id_b"))
 
 
+def p4_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Every long enough text with its group and its number of links to other texts."""
+    found = neardup.groups(*neardup.near_duplicates(_part_texts(spark, d), **P4))
+    return found.select("field", F.col("id").alias("part_id"), "group_id", "links")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return confusables.found(table(spark, d, "parts"))
 
@@ -82,7 +89,7 @@ def p8_documents(spark: SparkSession, d: str) -> DataFrame:
     return best.select("doc_id", "lang", F.round(F.col("c") / F.col("n"), 4).alias("confidence"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_repaired, p4_found, p5_found, p5_groups, p6_ids, p6_decoded, p7_found, p7_by_item, p8_found, p8_segments, p8_documents)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_repaired, p4_found, p4_groups, p5_found, p5_groups, p6_ids, p6_decoded, p7_found, p7_by_item, p8_found, p8_segments, p8_documents)}
 SQL: dict[str, str] = {
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }

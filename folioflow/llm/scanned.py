@@ -140,7 +140,7 @@ class Furniture:
         if not words or len(words) > 14:
             return False
         keys = [k for w in words if (k := furniture_key(w))]
-        if not any(k in self.words for k in keys):
+        if not any(k in self.words or ("9999/" in k and self.like(k)) for k in keys):
             return False
         like = [k for k in keys if self.like(k)]
         return sum(map(len, like)) >= 0.7 * sum(map(len, keys)) and (len(set(like)) >= 2 or "9999/" in like[0])
@@ -260,6 +260,19 @@ def token_filter(keys: DataFrame, bits: int = TOKEN_BITS) -> np.ndarray:
 # -- the pass over the lines ----------------------------------------------------
 
 
+def raw_lines(text: str) -> list[str]:
+    """The lines in their consistent form; a soft hyphen at a line end is a mark, not an invisible sign."""
+    if not text.isascii():
+        if "\xad" in text:
+            text = re.sub(r"\xad(?=[ \t\r]*(?:\n|\Z))", "¬", text)
+        text = consistent(text)
+    return text.split("\n")
+
+
+def without_tags(raw: list[str]) -> list[str]:
+    return [TAGS.sub(" ", x) if "<" in x else x for x in raw]
+
+
 @dataclass
 class Reader:
     """What the pass needs on every executor; all of it of bounded size."""
@@ -291,19 +304,14 @@ class Reader:
         if len(self.plain) > 300_000:
             self.plain.clear()
         new = [w for w in words if w not in self.plain]
-        good = [w for w in new if furniture_key(w) not in self.furniture and not any(self.suspect(t) for t in TOKEN.findall(w))]
+        good = [w for w in new if (k := furniture_key(w)) not in self.furniture and "9999/" not in k and not any(self.suspect(t) for t in TOKEN.findall(w))]
         self.plain.update(good)
         return len(good) == len(new)
 
     def lines(self, text: str, page: int | None) -> tuple[list[str], list[str]]:
         """The lines in their consistent form without tags, and their kinds."""
-        if not text.isascii():
-            if "­" in text:
-                text = re.sub(r"­(?=[ \t\r]*(?:\n|\Z))", "¬", text)
-            text = consistent(text)
-        raw = text.split("\n")
-        kinds = self.f.kinds(raw, page, self.plain)
-        return [TAGS.sub(" ", x) if "<" in x else x for x in raw], kinds
+        raw = raw_lines(text)
+        return without_tags(raw), self.f.kinds(raw, page, self.plain)
 
     def scan(self, text: str, page: int | None) -> list[tuple[int, str, str, str]]:
         """(line number, kind, a, b): header and pageno; hyphen (head, tail); first (tail) and last (head) of the text; token."""
@@ -496,17 +504,15 @@ def repaired(all_texts: DataFrame, model: Model) -> DataFrame:
     """(src, rec_id, text): each text as continuous paragraphs; repeated rows once. Null and empty texts stay as they are."""
     edit = F.struct("line_no", "kind", "a", "b", "word").alias("e")
     by_text = detail(all_texts.filter("text is not null"), model).groupBy("src", "rec_id").agg(F.collect_list(edit).alias("edits"))
-    shared = all_texts.sparkSession.sparkContext.broadcast(model.reader.furniture)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = Reader(shared.value)
         for b in batches:
             out = []
-            for text, edits, page in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist()):
+            for text, edits in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
                 if text and (edits or "\n" in text or "<" in text or not text.isascii()):
-                    text = rebuild(r.lines(text, page)[0], edits or [])
+                    text = rebuild(without_tags(raw_lines(text)), edits or [])
                 out.append(text)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], ["src", "rec_id", "text"])
 
-    joined = all_texts.dropDuplicates(["src", "rec_id"]).join(by_text, ["src", "rec_id"], "left").select("src", "rec_id", "text", "edits", "page")
+    joined = all_texts.dropDuplicates(["src", "rec_id"]).join(by_text, ["src", "rec_id"], "left").select("src", "rec_id", "text", "edits")
     return joined.mapInArrow(run, "src string, rec_id bigint, text string")
