@@ -18,6 +18,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -175,7 +176,7 @@ def groups(parts: DataFrame, key: str = "part_id", fields: tuple[str, ...] = ("t
     counts = values.groupBy("field", "value").agg(F.count("*").alias("n"))
 
     @F.pandas_udf("string")
-    def skeletons(batches: Iterator) -> Iterator:
+    def skeletons(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             yield s.map(skeleton)
 

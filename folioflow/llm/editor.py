@@ -166,8 +166,7 @@ def train(words: list[str], epochs: int = 2, seed: int = 7) -> CharEditor:
                     if guess != g:
                         update(feats, g, guess)
                 step += 1
-        rng.shuffle(breaks)
-        for head, tail, g in breaks:
+        for head, tail, g in (b for _ in range(5) for b in rng.sample(breaks, len(breaks))):
             feats = join_features(head, tail)
             guess = best(feats, ("J", "H"))
             if guess != g:
