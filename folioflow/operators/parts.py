@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioflow.functions import geometry as g
 from folioflow.functions import text as t
 from folioflow.operators import tables
+from folioflow.session import cut_lineage
 
 #: Pages of a document at most apart in order keys: ord = page * PER_PAGE + place on the page.
 PER_PAGE = 1_000_000
@@ -65,7 +66,7 @@ def document_parts(pages: DataFrame) -> DataFrame:
     clean = distinct_pages(pages).select("doc_id", "page", t.clean_junk(F.coalesce("markdown", F.lit(""))).alias("markdown"))
     carried = carried_numbers(clean)
     whole = clean.join(carried, ["doc_id", "page"]).select("doc_id", "page", t.carry_prefix(F.col("markdown"), F.col("carried")).alias("markdown"))
-    return page_parts(whole)
+    return page_parts(cut_lineage(whole))  # read four times below; without the table each read would carry numbers anew
 
 
 def drop_stems(parts: DataFrame) -> DataFrame:
