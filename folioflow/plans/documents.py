@@ -277,7 +277,7 @@ def custom_paper_html(spark: SparkSession, d: str) -> DataFrame:
 
 
 def health_report(spark: SparkSession, d: str) -> DataFrame:
-    rep = ds.health(table(spark, d, "datasets"), valid=lambda x: F.lit(True))
+    rep = ds.health(table(spark, d, "datasets"))
     return rep.select("dataset_id", "paper", "kind", "questions", "total_marks", "math_segments", "math_invalid", "fallbacks", F.size("anomalies").alias("n_anomalies"), "verdict")
 
 
