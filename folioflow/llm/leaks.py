@@ -3,7 +3,10 @@
 Template canonicalisation: numbers, names and units become typed placeholders,
 so that a template window is found whatever fills its slots. The windows of
 the items are joined by hash with those of the documents; then the words
-themselves, slots included, are compared along the hits.
+themselves, slots included, are compared along the hits. `leaks` counts the
+words actually held. `refilled` gives the pairs that reach the share only if
+slots filled otherwise count too, where equal values of the item stand for
+equal values of the document.
 
 Edge cases: null and empty texts hold nothing; an item without words is never
 found; repeated rows count once; an empty item table gives no rows.
@@ -14,6 +17,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -100,17 +104,40 @@ def _close(a: str, b: str) -> bool:
     return a[i + (n >= m) :] == b[i + (m >= n) :]
 
 
-def matched(doc: list[str], item: list[str], hits: list[tuple[int, int]], piece: int = PIECE) -> int:
+def slot_kinds(templates: list[str]) -> str:
+    """A character per word: n, p or u for a slot, - for a plain word."""
+    return "".join(t[1] if t[0] == "#" else "-" for t in templates)
+
+
+def slot_values(doc: list[str], item: list[str], kinds: tuple[str, str], hits: list[tuple[int, int]]) -> dict[tuple[str, str], str]:
+    """(kind, item's value) -> the document's value that most of its slots in the hit windows have; of equally many the first in order.
+
+    A value of the item stands for one value of the document only; slots filled otherwise are changed words.
+    """
+    votes: dict[tuple[str, str], Counter] = {}
+    for a, b in {(a + i, b + i) for a, b in hits for i in range(WINDOW)}:
+        if kinds[1][b] != "-" and kinds[0][a] == kinds[1][b]:
+            votes.setdefault((kinds[1][b], item[b]), Counter())[doc[a]] += 1
+    return {k: min(v, key=lambda w: (-v[w], w)) for k, v in votes.items()}
+
+
+def matched(doc: list[str], item: list[str], hits: list[tuple[int, int]], piece: int = PIECE, kinds: tuple[str, str] | None = None) -> int:
     """How many of the item's words stand in the document, in pieces of at least `piece` words.
 
     hits: (place in the document, place in the item) of equal template windows.
     Along each diagonal the words are compared; inside a piece single words may
     be changed, and one may be added or lost where the piece goes on.
+    kinds: the slots of document and item; with them a consistently refilled slot counts as held.
     """
+    values = slot_values(doc, item, kinds, hits) if kinds else {}
     runs = []
     for d in {a - b for a, b in hits}:
         lo, hi = max(0, -d), min(len(item), len(doc) - d)
         ok = [_close(doc[i + d], item[i]) for i in range(lo, hi)]
+        if kinds:  # a slot counts by its value's one counterpart
+            for i in range(lo, hi):
+                if kinds[1][i] != "-" and kinds[0][i + d] == kinds[1][i] and (kinds[1][i], item[i]) in values:
+                    ok[i - lo] = values[kinds[1][i], item[i]] == doc[i + d]
         i = 0
         while i < len(ok):
             if not ok[i]:
@@ -174,13 +201,13 @@ def _filter(windows: DataFrame) -> np.ndarray:
 
 
 def document_hits(documents: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(doc_id, words, hashes, places) of the documents with windows that an item may have."""
+    """(doc_id, words, kinds, hashes, places) of the documents with windows that an item may have."""
     shared = documents.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         for b in batches:
-            ids, words, hashes, places = [], [], [], []
+            ids, words, kinds, hashes, places = [], [], [], [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 pairs = tokens(text)
                 h = window_hashes([t for _, t in pairs])
@@ -189,16 +216,26 @@ def document_hits(documents: DataFrame, bits: np.ndarray) -> DataFrame:
                 if len(at) >= 2:
                     ids.append(i)
                     words.append(" ".join(x for x, _ in pairs))
+                    kinds.append(slot_kinds([t for _, t in pairs]))
                     hashes.append(h[at].tolist())
                     places.append(at.tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.string()), pa.array(hashes, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))], ["doc_id", "words", "hashes", "places"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.string()), pa.array(kinds, pa.string()), pa.array(hashes, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))], ["doc_id", "words", "kinds", "hashes", "places"])
 
     texts = documents.select("doc_id", "text").filter("text <> ''")
-    return texts.mapInArrow(run, "doc_id bigint, words string, hashes array<bigint>, places array<int>")
+    return texts.mapInArrow(run, "doc_id bigint, words string, kinds string, hashes array<bigint>, places array<int>")
 
 
 def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE, piece: int = PIECE) -> DataFrame:
     """(doc_id, item_id): the document holds at least `share` of the item's words."""
+    return _pairs(documents, items, share, piece, False)
+
+
+def refilled(documents: DataFrame, items: DataFrame, share: float = SHARE, piece: int = PIECE) -> DataFrame:
+    """(doc_id, item_id): the document holds at least `share` of the item's words only if consistently refilled slots count."""
+    return _pairs(documents, items, share, piece, True)
+
+
+def _pairs(documents: DataFrame, items: DataFrame, share: float, piece: int, refill: bool) -> DataFrame:
     windows = cut_lineage(item_windows(items))
     docs = cut_lineage(document_hits(documents, _filter(windows)))
     hits = docs.select("doc_id", F.explode(F.arrays_zip("hashes", "places")).alias("h")).select("doc_id", F.col("h.hashes").alias("hash"), F.col("h.places").alias("place"))
@@ -209,18 +246,23 @@ def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE, piece: i
         .filter(F.col("got") >= F.greatest(F.lit(2), F.col("n") * share * 0.25))
     )
     texts = items.select("item_id", F.col("text").alias("item")).filter("text is not null").distinct()
-    wide = near.join(docs.select("doc_id", "words"), "doc_id").join(texts, "item_id").select("doc_id", "item_id", "words", "item", "hits")
+    wide = near.join(docs.select("doc_id", "words", "kinds"), "doc_id").join(texts, "item_id").select("doc_id", "item_id", "words", "item", "hits", *(["kinds"] if refill else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, list[str]] = {}
+        known: dict[int, tuple[list[str], str]] = {}
         for b in batches:
             keep = []
             for i in range(b.num_rows):
                 item = b.column(1)[i].as_py()
                 if item not in known:
-                    known[item] = [x for x, _ in tokens(b.column(3)[i].as_py())]
-                found = matched(b.column(2)[i].as_py().split(" "), known[item], [(h["place"], h["at"]) for h in b.column(4)[i].as_py()], piece)
-                if found >= share * len(known[item]):
+                    pairs = tokens(b.column(3)[i].as_py())
+                    known[item] = [x for x, _ in pairs], slot_kinds([t for _, t in pairs])
+                words, kinds = known[item]
+                doc, hits = b.column(2)[i].as_py().split(" "), [(h["place"], h["at"]) for h in b.column(4)[i].as_py()]
+                held = matched(doc, words, hits, piece) >= share * len(words)
+                if refill:
+                    held = not held and matched(doc, words, hits, piece, (b.column(5)[i].as_py(), kinds)) >= share * len(words)
+                if held:
                     keep.append(i)
             at = pa.array(keep, pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at)], ["doc_id", "item_id"])

@@ -65,6 +65,11 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
+def p7_refilled(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs that p7_found doesn't have: the item stands in the document with other numbers, names or units."""
+    return leaks.refilled(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def p7_by_item(spark: SparkSession, d: str) -> DataFrame:
     """Which items leaked, and into how many documents."""
     items = table(spark, d, "eval_items").select("item_id", "suite").distinct()
@@ -89,7 +94,7 @@ def p8_documents(spark: SparkSession, d: str) -> DataFrame:
     return best.select("doc_id", "lang", F.round(F.col("c") / F.col("n"), 4).alias("confidence"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_repaired, p4_found, p4_groups, p5_found, p5_groups, p6_ids, p6_decoded, p7_found, p7_by_item, p8_found, p8_segments, p8_documents)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_repaired, p4_found, p4_groups, p5_found, p5_groups, p6_ids, p6_decoded, p7_found, p7_refilled, p7_by_item, p8_found, p8_segments, p8_documents)}
 SQL: dict[str, str] = {
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
