@@ -25,8 +25,6 @@ SAMPLE_CHARS = 40_000
 SURE_LETTERS, SURE_LEAD = 20, 0.08
 #: A parse stops at so many times the phrases of the best one.
 HOPELESS = 1.5
-#: So few phrases per character, eight characters each and more, settle a sentence: other languages need 0.155 and more here.
-SURE_RATE = 0.12
 
 #: Languages and the notations that name them (codes, English and own names).
 NAMES = {
@@ -132,22 +130,20 @@ class Judge:
         self.order = list(self.langs)
 
     def rates(self, s: str) -> dict[str, float]:
-        """Phrases per character for each language; 1 for one of another alphabet. s: plain text."""
+        """Phrases per character for each language, alike whichever is tried first; 1 for one of another alphabet. s: plain text."""
         if s in self.known:
             return self.known[s]
         n = max(1, len(s) - 2)
         text, cyrillic = bare(s), _mostly_cyrillic(s)
-        out, least = {}, 1 << 30
+        out, counts, least = {}, {}, 1 << 30
         for k in self.order:
             if (k in self.cyrillic) != cyrillic:
                 out[k] = 1.0
                 continue
-            if least < SURE_RATE * n:  # no other language comes near
-                out[k] = HOPELESS * least / n
-                continue
-            got = self.of[k].phrases(text, int(HOPELESS * least) + 3)
-            least = min(least, got)
-            out[k] = got / n
+            counts[k] = self.of[k].phrases(text, int(HOPELESS * least) + 3)
+            least = min(least, counts[k])
+        # a parse tried before the best one may have gone on for longer than one that was stopped
+        out |= {k: min(got, int(HOPELESS * least) + 4) / n for k, got in counts.items()}
         best = min(out, key=lambda k: (out[k], k), default=None)
         if best and best != self.order[0]:
             self.order.remove(best)
