@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.llm.confusables import consistent
@@ -314,7 +314,7 @@ class Reader:
         return without_tags(raw), self.f.kinds(raw, page, self.plain)
 
     def scan(self, text: str, page: int | None) -> list[tuple[int, str, str, str]]:
-        """(line number, kind, a, b): header and pageno; hyphen (head, tail); first (tail) and last (head) of the text; token."""
+        """(line number, kind, a, b): header and pageno; hyphen (head, tail); first (tail, '' if no word begins it) and last (head) of the text; token."""
         lines, kinds = self.lines(text, page)
         out: list[tuple[int, str, str, str]] = []
         open_: tuple[int, str] | None = None
@@ -331,8 +331,8 @@ class Reader:
                 if open_ and m and (m[1][0].islower() or open_[1].isupper()):
                     out.append((open_[0], "hyphen", open_[1], m[1]))
                     begin = m.end()
-                elif not seen and m:
-                    out.append((no, "first", "", m[1]))
+                elif not seen:
+                    out.append((no, "first", "", m[1] if m else ""))
             seen = True
             open_ = None
             end = len(line)
@@ -428,10 +428,12 @@ def detail(all_texts: DataFrame, model: Model) -> DataFrame:
     rows = cut_lineage(_scanned(all_texts, model.reader).distinct())
     cols = ("src", "rec_id", "line_no", "kind", "a", "b", "word")
     plain = rows.filter("kind in ('header', 'pageno')").withColumn("word", F.lit("")).select(*cols)
-    # a word carried over to the next page of the same document
+    # a word carried over to the document's next page that has text: pages missing, blank or of furniture only lie between
     last = rows.filter("kind = 'last' and src = 'ocr_pages.markdown'")
-    first = rows.filter("kind = 'first' and src = 'ocr_pages.markdown'").select("doc_id", (F.col("page") - 1).alias("page"), F.col("b").alias("next"), F.col("rec_id").alias("next_id"), F.col("line_no").alias("next_no"))
-    over = last.join(first, ["doc_id", "page"]).filter((F.lower(F.substring("next", 1, 1)) == F.substring("next", 1, 1)) | (F.upper("a") == F.col("a")))
+    first = rows.filter("kind = 'first' and src = 'ocr_pages.markdown' and page is not null").select("doc_id", F.col("page").alias("next_page"), F.col("b").alias("next"), F.col("rec_id").alias("next_id"), F.col("line_no").alias("next_no"))
+    page = F.col("next_page")
+    follows = first.select("doc_id", "next_page").distinct().select("doc_id", page.alias("page"), F.lead(page).over(Window.partitionBy("doc_id").orderBy(page)).alias("next_page"))
+    over = last.join(follows, ["doc_id", "page"]).join(first, ["doc_id", "next_page"]).filter("next <> ''").filter((F.lower(F.substring("next", 1, 1)) == F.substring("next", 1, 1)) | (F.upper("a") == F.col("a")))
     pieces = rows.filter("kind = 'hyphen'").select("src", "rec_id", "line_no", "a", "b")
     pieces = pieces.unionByName(over.select("src", "rec_id", "line_no", "a", F.col("next").alias("b")))
     hyphens = whole_words(pieces, model).withColumn("kind", F.lit("hyphen")).select(*cols)
