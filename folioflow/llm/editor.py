@@ -78,14 +78,14 @@ class CharEditor:
                 at = token.find(src, at + 1)
         return sorted(out, reverse=True)
 
-    def proposals(self, token: str, most: int = 10) -> list[tuple[str, float]]:
-        """Edited forms with their margins: single edits, pairs of the best ones, and for numbers all digits at once."""
+    def proposals(self, token: str) -> list[tuple[str, float]]:
+        """Edited forms with their margins: every single edit, pairs of the best ones, and for numbers all digits at once."""
         edits = self.edits(token)
         if is_number(token):
             done = "".join(dict(DIGITS).get(c, c) for c in token)
             return [(done, sum(m for m, *_ in edits))] if done != token else []
         out: dict[str, float] = {}
-        for m, i, s, t in edits[:most]:
+        for m, i, s, t in edits:
             out.setdefault(token[:i] + t + token[i + len(s) :], m)
         best = edits[:4] if len(token) >= 5 else []
         for x in range(len(best)):
