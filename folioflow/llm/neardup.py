@@ -212,7 +212,8 @@ def verified(pairs: DataFrame, profile: DataFrame, threshold: float) -> DataFram
 def near_duplicates(texts: DataFrame, threshold: float = 0.8, k: int = 5, least: int = 1) -> tuple[DataFrame, DataFrame]:
     """Pairs of class representatives (field, a, b, similarity) and membership (field, id, rep).
 
-    texts: (field, id, text), in any number of rows per id.
+    texts: (field, id, text), in any number of rows per id. Not complete: a pair
+    of similarity 0.4 is a candidate with probability 0.71, see BANDS.
     """
     members = cut_lineage(classes(texts, max(least, k)))
     reps = members.groupBy("field", "class_id").agg(F.min("id").alias("rep"), F.first("words").alias("words"))
