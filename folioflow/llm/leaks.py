@@ -3,13 +3,15 @@
 Template canonicalisation: numbers, names and units become typed placeholders,
 so that a template window is found whatever fills its slots. The windows of
 the items are joined by hash with those of the documents; then the words
-themselves, slots included, are compared along the hits. `leaks` counts the
+themselves, slots included, are compared along the hits, for every pair that
+has one: a piece counts if it holds a window of equal templates. `leaks` counts the
 words actually held. `refilled` gives the pairs that reach the share only if
 slots filled otherwise count too, where equal values of the item stand for
 equal values of the document.
 
 Edge cases: null and empty texts hold nothing; an item without words is never
-found; repeated rows count once; an empty item table gives no rows.
+found, one of few words by a shorter window; repeated rows count once; an
+empty item table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +34,10 @@ from folioflow.session import cut_lineage
 
 #: Words of a template window; words of a piece at least; share of the item's words that must be found.
 WINDOW, PIECE, SHARE = 5, 10, 0.5
-#: Equal words that must follow a changed one inside a piece.
-ASIDE = 3
+#: Equal words that must follow a changed one inside a piece; plain words that a window of typed slots needs.
+ASIDE, ANCHORS = 3, 2
+#: Tasks among which the documents of one window are split.
+SALT = 8
 #: Bits of the filter of the items' window hashes (1 MB whatever the number of items).
 BITS = 1 << 23
 _WORD = re.compile(r"[^\W_]+")
@@ -78,17 +83,32 @@ def _begins_sentence(text: str, at: int) -> bool:
     return not before or before[-1] in ".?!:;>$" or "\n\n" in text[max(0, at - 6) : at]
 
 
-def window_hashes(templates: list[str], w: int = WINDOW) -> np.ndarray:
-    """64-bit hashes of the windows, built from one hash per template word."""
-    n = len(templates) - w + 1
+def window_hashes(words: list[str], kinds: str, w: int = WINDOW) -> np.ndarray:
+    """64-bit hashes of the windows of w words, built from one hash per word.
+
+    A slot counts by its type, but where a window has fewer than ANCHORS plain
+    words by its value: a row of numbers would else be equal to any other.
+    """
+    n = len(words) - w + 1
     if n <= 0:
         return np.empty(0, np.int64)
-    h = np.fromiter(map(_hash, templates), np.uint64, len(templates))
-    out = np.zeros(n, np.uint64)
-    for i in range(w):
-        out = (out ^ h[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(31)
-    return out.view(np.int64)
+    own = np.fromiter(map(_hash, words), np.uint64, len(words))
+    slot = np.frombuffer(kinds.encode(), np.uint8)
+    plain = slot == ord("-")
+    typed = np.where(plain, own, slot)
+    out = [np.full(n, w, np.uint64), np.full(n, w, np.uint64)]
+    for k, h in enumerate((typed, own)):
+        for i in range(w):
+            out[k] = (out[k] ^ h[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
+            out[k] ^= out[k] >> np.uint64(31)
+    before = np.concatenate([[0], np.cumsum(plain)])
+    return np.where(before[w:] - before[:-w] >= min(ANCHORS, w), out[0], ~out[1]).view(np.int64)
+
+
+def window_size(n: int, share: float = SHARE) -> int:
+    """The window for an item of n words: WINDOW, less where the passage to be found is so short that one changed word would break every such window."""
+    least = max(1, ceil(share * n))
+    return least if least < 3 else min(WINDOW, ceil((least - 1) / 2))
 
 
 def _close(a: str, b: str) -> bool:
@@ -109,31 +129,35 @@ def slot_kinds(templates: list[str]) -> str:
     return "".join(t[1] if t[0] == "#" else "-" for t in templates)
 
 
-def slot_values(doc: list[str], item: list[str], kinds: tuple[str, str], hits: list[tuple[int, int]]) -> dict[tuple[str, str], str]:
-    """(kind, item's value) -> the document's value that most of its slots in the hit windows have; of equally many the first in order.
+def slot_values(doc: list[str], item: list[str], kinds: tuple[str, str], diagonals: list[int]) -> dict[tuple[str, str], str]:
+    """(kind, item's value) -> the document's value that most of its slots in equal template windows have; of equally many the first in order.
 
     A value of the item stands for one value of the document only; slots filled otherwise are changed words.
     """
     votes: dict[tuple[str, str], Counter] = {}
-    for a, b in {(a + i, b + i) for a, b in hits for i in range(WINDOW)}:
-        if kinds[1][b] != "-" and kinds[0][a] == kinds[1][b]:
-            votes.setdefault((kinds[1][b], item[b]), Counter())[doc[a]] += 1
+    for d in diagonals:
+        lo, hi = max(0, -d), min(len(item), len(doc) - d)
+        same = [kinds[0][i + d] == kinds[1][i] and (kinds[1][i] != "-" or doc[i + d] == item[i]) for i in range(lo, hi)]
+        inside = {i + k for i in range(len(same) - WINDOW + 1) if all(same[i : i + WINDOW]) for k in range(WINDOW)}
+        for i in (lo + x for x in inside):
+            if kinds[1][i] != "-":
+                votes.setdefault((kinds[1][i], item[i]), Counter())[doc[i + d]] += 1
     return {k: min(v, key=lambda w: (-v[w], w)) for k, v in votes.items()}
 
 
-def matched(doc: list[str], item: list[str], hits: list[tuple[int, int]], piece: int = PIECE, kinds: tuple[str, str] | None = None) -> int:
-    """How many of the item's words stand in the document, in pieces of at least `piece` words.
+def matched(doc: list[str], item: list[str], diagonals: list[int], piece: int = PIECE, kinds: tuple[str, str] | None = None, share: float = SHARE) -> int:
+    """How many of the item's words stand in the document, in pieces of at least `piece` words, or in one that is enough by itself.
 
-    hits: (place in the document, place in the item) of equal template windows.
+    diagonals: place in the document less place in the item, of equal windows.
     Along each diagonal the words are compared; inside a piece single words may
     be changed, and one may be added or lost where the piece goes on.
     kinds: the slots of document and item; with them a consistently refilled slot counts as held.
     """
-    values = slot_values(doc, item, kinds, hits) if kinds else {}
+    values = slot_values(doc, item, kinds, diagonals) if kinds else {}
     runs = []
-    for d in {a - b for a, b in hits}:
+    for d in diagonals:
         lo, hi = max(0, -d), min(len(item), len(doc) - d)
-        ok = [_close(doc[i + d], item[i]) for i in range(lo, hi)]
+        ok = [x == y or _close(x, y) for x, y in zip(doc[lo + d : hi + d], item[lo:hi])]
         if kinds:  # a slot counts by its value's one counterpart
             for i in range(lo, hi):
                 if kinds[1][i] != "-" and kinds[0][i + d] == kinds[1][i] and (kinds[1][i], item[i]) in values:
@@ -173,35 +197,39 @@ def matched(doc: list[str], item: list[str], hits: list[tuple[int, int]], piece:
                 break
     covered = set()
     for a, b, _, n in runs:
-        if b - a >= piece or n >= SHARE * len(item):
+        if b - a >= piece or n >= share * len(item):
             covered.update(range(a, b))
     return len(covered)
 
 
-def item_windows(items: DataFrame) -> DataFrame:
-    """(hash, item_id, at) of the template windows of the items."""
+def item_windows(items: DataFrame, share: float = SHARE) -> DataFrame:
+    """(hash, item_id, at, size) of the template windows of the items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                h = window_hashes([t for _, t in tokens(text)])
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array([i] * len(h), pa.int64()), pa.array(np.arange(len(h), dtype=np.int32))], ["hash", "item_id", "at"])
+                pairs = tokens(text)
+                if pairs:
+                    w = window_size(len(pairs), share)
+                    h = window_hashes([x for x, _ in pairs], slot_kinds([t for _, t in pairs]), w)
+                    n = len(h)
+                    yield pa.RecordBatch.from_arrays([pa.array(h), pa.array([i] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.array([w] * n, pa.int32())], ["hash", "item_id", "at", "size"])
 
     texts = items.select("item_id", "text").filter("text is not null").distinct()
-    return texts.mapInArrow(run, "hash bigint, item_id bigint, at int")
+    return texts.mapInArrow(run, "hash bigint, item_id bigint, at int, size int")
 
 
 def _filter(windows: DataFrame) -> np.ndarray:
     words = np.zeros(BITS // 64, np.int64)
     low = F.col("hash").bitwiseAND(F.lit(BITS - 1))
-    rows = windows.select(F.shiftright(low, 6).alias("at"), F.expr(f"shiftleft(1L, cast(hash & 63 as int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()  # noqa: F541
+    rows = windows.select(F.shiftright(low, 6).alias("at"), F.expr("shiftleft(1L, cast(hash & 63 as int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()
     for r in rows:  # at most BITS / 64
         words[r.at] = r.bits
     return words
 
 
-def document_hits(documents: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(doc_id, words, kinds, hashes, places) of the documents with windows that an item may have."""
+def document_hits(documents: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFrame:
+    """(doc_id, words, kinds, hashes, places) of the documents with windows that an item may have. sizes: the window lengths in use, WINDOW at most."""
     shared = documents.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,15 +238,20 @@ def document_hits(documents: DataFrame, bits: np.ndarray) -> DataFrame:
             ids, words, kinds, hashes, places = [], [], [], [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 pairs = tokens(text)
-                h = window_hashes([t for _, t in pairs])
-                low = h & (BITS - 1)
-                at = np.flatnonzero((w[low >> 6] >> (low & 63)) & 1)
-                if len(at) >= 2:
+                own, of = [x for x, _ in pairs], slot_kinds([t for _, t in pairs])
+                found, where = [], []
+                for size in sizes:
+                    h = window_hashes(own, of, size)
+                    low = h & (BITS - 1)
+                    at = np.flatnonzero((w[low >> 6] >> (low & 63)) & 1)
+                    found.append(h[at])
+                    where.append(at)
+                if any(map(len, found)):
                     ids.append(i)
-                    words.append(" ".join(x for x, _ in pairs))
-                    kinds.append(slot_kinds([t for _, t in pairs]))
-                    hashes.append(h[at].tolist())
-                    places.append(at.tolist())
+                    words.append(" ".join(own))
+                    kinds.append(of)
+                    hashes.append(np.concatenate(found).tolist())
+                    places.append(np.concatenate(where).tolist())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.string()), pa.array(kinds, pa.string()), pa.array(hashes, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))], ["doc_id", "words", "kinds", "hashes", "places"])
 
     texts = documents.select("doc_id", "text").filter("text <> ''")
@@ -235,36 +268,42 @@ def refilled(documents: DataFrame, items: DataFrame, share: float = SHARE, piece
     return _pairs(documents, items, share, piece, True)
 
 
-def _pairs(documents: DataFrame, items: DataFrame, share: float, piece: int, refill: bool) -> DataFrame:
-    windows = cut_lineage(item_windows(items))
-    docs = cut_lineage(document_hits(documents, _filter(windows)))
-    hits = docs.select("doc_id", F.explode(F.arrays_zip("hashes", "places")).alias("h")).select("doc_id", F.col("h.hashes").alias("hash"), F.col("h.places").alias("place"))
-    lengths = windows.groupBy("item_id").agg(F.count("*").alias("n"))
-    near = (
-        hits.join(windows, "hash").groupBy("doc_id", "item_id").agg(F.countDistinct("at").alias("got"), F.collect_set(F.struct("place", "at")).alias("hits"))
-        .join(lengths, "item_id")
-        .filter(F.col("got") >= F.greatest(F.lit(2), F.col("n") * share * 0.25))
-    )
+def compared(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
+    """(doc_id, item_id, diagonals, words, kinds, item): every pair with an equal window.
+
+    A window that many documents have is split: its documents go to SALT
+    tasks, and the items' windows, which are few, to all of them. Only the
+    diagonals of a pair are gathered, at most one per word of either side.
+    """
+    windows = cut_lineage(item_windows(items, share))
+    sizes = sorted(r.size for r in windows.select("size").distinct().collect())  # at most WINDOW
+    docs = cut_lineage(document_hits(documents, _filter(windows), sizes))
+    hits = docs.select("doc_id", F.explode(F.arrays_zip("hashes", "places")).alias("h")).select("doc_id", F.col("h.hashes").alias("hash"), F.col("h.places").alias("place"), F.pmod("doc_id", F.lit(SALT)).cast("int").alias("salt"))
+    salted = windows.select("hash", "item_id", "at", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    near = hits.join(salted, ["hash", "salt"]).groupBy("doc_id", "item_id").agg(F.collect_set(F.col("place") - F.col("at")).alias("diagonals"))
     texts = items.select("item_id", F.col("text").alias("item")).filter("text is not null").distinct()
-    wide = near.join(docs.select("doc_id", "words", "kinds"), "doc_id").join(texts, "item_id").select("doc_id", "item_id", "words", "item", "hits", *(["kinds"] if refill else []))
+    return near.join(texts, "item_id").join(docs.select("doc_id", "words", "kinds"), "doc_id").select("doc_id", "item_id", "diagonals", "words", "kinds", "item")
+
 
+def _pairs(documents: DataFrame, items: DataFrame, share: float, piece: int, refill: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, tuple[list[str], str]] = {}
+        read = lru_cache(maxsize=10_000)(_words_and_kinds)
         for b in batches:
             keep = []
-            for i in range(b.num_rows):
-                item = b.column(1)[i].as_py()
-                if item not in known:
-                    pairs = tokens(b.column(3)[i].as_py())
-                    known[item] = [x for x, _ in pairs], slot_kinds([t for _, t in pairs])
-                words, kinds = known[item]
-                doc, hits = b.column(2)[i].as_py().split(" "), [(h["place"], h["at"]) for h in b.column(4)[i].as_py()]
-                held = matched(doc, words, hits, piece) >= share * len(words)
+            for i, (diagonals, text, of, item) in enumerate(zip(*(b.column(c).to_pylist() for c in range(2, 6)))):
+                words, kinds = read(item)
+                doc, least = text.split(" "), share * len(words)
+                held = matched(doc, words, diagonals, piece, share=share) >= least
                 if refill:
-                    held = not held and matched(doc, words, hits, piece, (b.column(5)[i].as_py(), kinds)) >= share * len(words)
+                    held = not held and matched(doc, words, diagonals, piece, (of, kinds), share) >= least
                 if held:
                     keep.append(i)
             at = pa.array(keep, pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at)], ["doc_id", "item_id"])
 
-    return wide.mapInArrow(run, "doc_id bigint, item_id bigint").distinct()
+    return compared(documents, items, share).mapInArrow(run, "doc_id bigint, item_id bigint").distinct()
+
+
+def _words_and_kinds(text: str) -> tuple[list[str], str]:
+    pairs = tokens(text)
+    return [x for x, _ in pairs], slot_kinds([t for _, t in pairs])
