@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from folioflow.llm import languages as g
@@ -13,19 +14,29 @@ def test_labels(label, code):
     assert g.label_code(label) == code
 
 
+def parsed(automaton, texts):
+    lengths = np.array([len(s) for s in texts])
+    return automaton.phrases(np.frombuffer("".join(texts).encode(), np.uint8) - 96, np.cumsum(lengths) - lengths, lengths).tolist()
+
+
+def phrases(text, s):
+    n = i = 0
+    while i < len(s):
+        j = i + 1
+        while j <= len(s) and s[i:j] in text:
+            j += 1
+        i = max(i + 1, j - 1)
+        n += 1
+    return n
+
+
 def test_automaton_parses_like_brute_force():
     rng = random.Random(1)
-    for _ in range(60):
-        text, s = ("".join(rng.choice("abc") for _ in range(rng.randrange(1, 25))) for _ in range(2))
-        n = i = 0
-        while i < len(s):
-            j = i + 1
-            while j <= len(s) and s[i:j] in text:
-                j += 1
-            i = max(i + 1, j - 1)
-            n += 1
-        assert g.Automaton(text).phrases(s) == n
-    assert g.Automaton("ab").phrases("") == 0 and g.Automaton("ab").phrases("zzzz", 2) == 3
+    draw = lambda letters, least, most: "".join(rng.choice(letters) for _ in range(rng.randrange(least, most)))
+    for _ in range(40):
+        text, many = draw("abc", 1, 25), [draw("abcd", 0, 25) for _ in range(7)]
+        assert parsed(g.Automaton([ord(c) - 96 for c in text], 5), many) == [phrases(text, s) for s in many]
+    assert parsed(g.Automaton([1, 2], 5), ["", "ddd"]) == [0, 3] and parsed(g.Automaton([1, 2], 5), []) == []
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +49,7 @@ def test_held_out_samples(samples):
     by = {k: [r for r in rows if r.lang == k] for k in {r.lang for r in rows}}
     judge = g.Judge({k: "\n".join(r.text for r in v[10:]) for k, v in by.items()})
     held = [r for v in by.values() for r in v[:10]]
-    right = sum([x[0] for x in g.segments(r.text, judge)] == [r.lang] for r in held)
+    right = sum([x[0] for x in found] == [r.lang] for r, found in zip(held, g.segments([r.text for r in held], judge)))
     assert right / len(held) >= 0.97
 
 
