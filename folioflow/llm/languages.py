@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioflow.session import each_once
+
 #: Characters of labelled text per language that the automata are built from; samples are taken in a fixed order.
 SAMPLE_CHARS = 40_000
 #: A sentence counts by itself from so many letters and with such a lead; else its neighbours decide.
@@ -329,7 +331,7 @@ def document_segments(documents: DataFrame, samples: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.float64(), pa.int32(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["doc_id", "label", "code", "seg_no", "lang", "confidence", "letters", "text"])
 
-    texts = documents.select("doc_id", F.col("lang").alias("label"), "text").filter("text is not null").distinct()
+    texts = each_once(documents.select("doc_id", F.col("lang").alias("label"), "text").filter("text is not null"), "doc_id")
     return texts.mapInArrow(run, "doc_id bigint, label string, code string, seg_no int, lang string, confidence double, letters int, text string")
 
 

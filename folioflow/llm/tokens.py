@@ -1,14 +1,14 @@
 """Encoding of a corpus with a public tokenizer through a table of distinct words.
 
 The tokenizer's own pattern splits texts into words in Spark; each distinct
-word is encoded once. Ids come back by position: the HOT_WORDS most frequent
-words are looked up from a broadcast table (of that bound), where nearly all
-occurrences are; the rest are joined with the whole word table. No word
-gathers in one task, and only rare words are shuffled.
+word is encoded once. Ids come back by position: every word that isn't among
+the HOT_WORDS most frequent ones is joined with the word table. The hot ones,
+whose join would gather a word of every text in one task, get their ids from a
+broadcast part of that table. The vocabulary is read once, by the driver, and
+broadcast (a fixed table).
 
 Edge cases: null and empty texts have an empty list; special tokens' strings in a
-text are ordinary text; repeated doc_ids keep their row each only where rows
-differ.
+text are ordinary text; repeated rows count once.
 """
 
 from __future__ import annotations
@@ -22,27 +22,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.session import cut_lineage
+from folioflow.session import cut_lineage, each_once
 
 FOLDER = "/opt/tokenizers"
 NAME = "byte_bpe_50k"
 #: Fixed value: the public pattern that splits text for this vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words in the broadcast table at most (a few MB with their ids).
-HOT_WORDS = 50_000
+#: Words in the broadcast part of the word table: those frequent enough to be skewed keys of the join.
+HOT_WORDS = 4_000
 
 
 @lru_cache(maxsize=4)
-def ranks(name: str = NAME, folder: str = FOLDER) -> dict[bytes, int]:
-    lines = (Path(folder) / f"{name}.tiktoken").read_bytes().splitlines()
-    return {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
+def vocabulary(name: str = NAME, folder: str = FOLDER) -> bytes:
+    return (Path(folder) / f"{name}.tiktoken").read_bytes()
+
+
+def ranks(file: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in (x.split() for x in file.splitlines() if x.strip())}
 
 
 @lru_cache(maxsize=4)
-def encoder(name: str = NAME, folder: str = FOLDER):
+def encoder(file: bytes):
     import tiktoken
 
-    return tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks(name, folder), special_tokens={})
+    return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks(file), special_tokens={})
 
 
 def split_words(text: str = "text"):
@@ -53,9 +56,10 @@ def split_words(text: str = "text"):
 def word_table(documents: DataFrame, name: str = NAME, folder: str = FOLDER) -> DataFrame:
     """(word, n, ids) of each distinct word of the corpus, encoded once."""
     counts = documents.select(F.explode(split_words()).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    shared = documents.sparkSession.sparkContext.broadcast(vocabulary(name, folder))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(name, folder)
+        e = encoder(shared.value)
         for b in batches:
             ids = pa.array([e.encode_ordinary(w) for w in b.column(0).to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), ids], ["word", "n", "ids"])
@@ -65,7 +69,7 @@ def word_table(documents: DataFrame, name: str = NAME, folder: str = FOLDER) ->
 
 def encoded(documents: DataFrame, name: str = NAME, folder: str = FOLDER, hot_words: int = HOT_WORDS, key: str = "doc_id") -> DataFrame:
     """(doc_id, ids) of each document."""
-    docs = documents.select(key, "text").dropDuplicates()
+    docs = each_once(documents.select(key, "text"), key)
     words = cut_lineage(word_table(documents.filter("text is not null"), name, folder))
     hot = {r.word: list(r.ids) for r in words.orderBy(F.desc("n"), "word").limit(hot_words).collect()}
     shared = documents.sparkSession.sparkContext.broadcast(hot)
@@ -89,8 +93,6 @@ def encoded(documents: DataFrame, name: str = NAME, folder: str = FOLDER, hot_wo
 
     kind = documents.schema[key].dataType.simpleString()
     looked = docs.select(key, split_words().alias("words")).mapInArrow(run, f"{key} {kind}, ids array<int>, cold array<struct<at int, no int, word string>>")
-    if words.count() <= hot_words:  # the broadcast table is the whole table
-        return looked.select(key, "ids")
     looked = cut_lineage(looked.withColumn("row", F.monotonically_increasing_id()))
     rare = looked.select("row", F.explode("cold").alias("c")).select("row", "c.at", "c.no", "c.word").join(words.select("word", F.col("ids").alias("more")), "word")
     pieces = rare.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "no", "more"))).alias("pieces"))
@@ -113,7 +115,7 @@ def spliced(ids: str, pieces: str):
 
 def pieces(spark, name: str = NAME, folder: str = FOLDER) -> DataFrame:
     """(id, piece) of the vocabulary: a fixed table of about 50,000 rows."""
-    return spark.createDataFrame([(i, bytearray(b)) for b, i in ranks(name, folder).items()], "id int, piece binary")
+    return spark.createDataFrame([(i, bytearray(b)) for b, i in ranks(vocabulary(name, folder)).items()], "id int, piece binary")
 
 
 def decoded(ids: DataFrame, name: str = NAME, folder: str = FOLDER, key: str = "doc_id") -> DataFrame:

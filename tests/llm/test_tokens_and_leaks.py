@@ -15,7 +15,7 @@ def docs(spark):
 @pytest.mark.parametrize("hot", [t.HOT_WORDS, 2, 0])
 def test_ids_equal_the_tokenizer(docs, hot):
     got = {r.doc_id: list(r.ids) for r in t.encoded(docs, hot_words=hot).collect()}
-    assert got == {i: t.encoder().encode_ordinary(s or "") for i, s in TEXTS.items()}
+    assert got == {i: t.encoder(t.vocabulary()).encode_ordinary(s or "") for i, s in TEXTS.items()}
 
 
 def test_round_trip(docs):
