@@ -2,11 +2,14 @@
 
 Equal texts form one class with one representative. Candidates among the
 representatives come from min-hash bands. Each representative has a
-fingerprint and a pivot table: its Hamming distances to PIVOTS reference
-fingerprints, computed beforehand. A candidate pair is discarded if the pivot
-tables differ somewhere by more than the allowed distance (triangle
-inequality), then by the distance itself; survivors are verified on the
-shingle sets.
+fingerprint, the bits that its sequences hash to, and a pivot table: its
+Hamming distances to PIVOTS reference fingerprints, computed beforehand. The
+distance of two fingerprints is never more than the number of sequences that
+only one of the texts has, and the difference of two distances to a pivot
+never more than that (triangle inequality). So a candidate pair is discarded
+without loss if the pivot tables differ somewhere by more than the threshold
+allows for texts of that size, then by the distance itself; survivors are
+verified on the sets.
 
 Pivot distances alone can't find the candidates at a similarity of 0.4: the
 allowed distance is larger than nearly all coordinate differences between
@@ -26,17 +29,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.session import cut_lineage
 
-#: A pair of similarity s is a candidate with probability 1 - (1 - s^ROWS)^BANDS: 0.955 at 0.5, 0.9987 at 0.6, 0.99999 at 0.7.
-BANDS, ROWS = 48, 4
-#: Reference fingerprints, and bits of a fingerprint: its bits are one bit each of as many min-hashes.
-PIVOTS, BITS = 32, 192
-#: Standard deviations above the expected distance of a pair at the threshold up to which it is kept.
-SLACK = 4.0
+#: A pair of similarity s is a candidate with probability 1 - (1 - s^ROWS)^BANDS: 0.917 at 0.4, 0.982 at 0.45, 0.998 at 0.5, 0.999998 at 0.6.
+BANDS, ROWS = 96, 4
+#: Reference fingerprints, and bits of a fingerprint.
+PIVOTS, BITS = 32, 256
+#: Rows of a group that one task pairs with as many others.
+BLOCK = 512
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -88,15 +91,11 @@ def band_keys(low: np.ndarray) -> np.ndarray:
     return (np.arange(BANDS, dtype=np.int64) << 32) | (key >> np.uint64(32)).astype(np.int64)
 
 
-def fingerprint(low: np.ndarray) -> np.ndarray:
-    """BITS bits: the parity of mixed min-hashes, equal for equal min-hashes, else by chance."""
-    mixed = low[:BITS] * np.uint64(0x9E3779B97F4A7C15)
-    return np.packbits((mixed >> np.uint64(63)).astype(np.uint8))
-
-
-def reference_fingerprints(seed: int = 5) -> np.ndarray:
-    """The PIVOTS reference fingerprints as bytes."""
-    return np.random.default_rng(seed).integers(0, 256, (PIVOTS, BITS // 8), dtype=np.uint8)
+def fingerprint(s: np.ndarray) -> np.ndarray:
+    """The bits that the set's hashes fall on, as bytes. Sets that differ in n members have a distance of n at most."""
+    bits = np.zeros(BITS, np.uint8)
+    bits[s % BITS] = 1
+    return np.packbits(bits)
 
 
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint16)
@@ -106,10 +105,9 @@ def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _ONES[a ^ b].sum(axis=-1)
 
 
-def allowed_distance(threshold: float) -> float:
-    """Distance of fingerprints up to which a pair at the threshold is kept: its mean and SLACK deviations."""
-    p = (1 - threshold) / 2
-    return BITS * p + SLACK * (BITS * p * (1 - p)) ** 0.5
+def allowed_distance(size_a: np.ndarray, size_b: np.ndarray, threshold: float) -> np.ndarray:
+    """The distance that a pair of the threshold has at most: (1 - t) / (1 + t) of both sizes."""
+    return (1 - threshold) / (1 + threshold) * (size_a.astype(np.int64) + size_b)
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -132,44 +130,66 @@ def classes(texts: DataFrame, least: int) -> DataFrame:
     return some.mapInArrow(run, "field string, id bigint, class_id string, words string")
 
 
-def profiles(reps: DataFrame, k: int) -> DataFrame:
-    """(field, rep, shingles, print, pivots, bands) of each representative."""
+def reference_fingerprints(members: DataFrame, k: int) -> np.ndarray:
+    """PIVOTS fingerprints of texts of the collection, those with the least digests, as rows of bytes; the empty one is the first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([fingerprint(shingles(w.split(" "), k)).tobytes() for w in b.column(1).to_pylist()], pa.binary())], ["class_id", "print"])
+
+    some = members.select("class_id", "words").dropDuplicates(["class_id"]).orderBy("class_id").limit(PIVOTS - 1)
+    prints = [bytes(r.print) for r in some.mapInArrow(run, "class_id string, print binary").orderBy("class_id").collect()]
+    return np.frombuffer(b"".join([bytes(BITS // 8), *prints]), np.uint8).reshape(-1, BITS // 8)
+
+
+def profiles(reps: DataFrame, k: int, pivots: np.ndarray) -> DataFrame:
+    """(field, rep, size, shingles, print, pivots) of each representative."""
+    shared = reps.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        perms, pivots = _permutations(max(BANDS * ROWS, BITS)), reference_fingerprints()
         for b in batches:
-            sets, prints, distances, bands = [], [], [], []
-            for w in b.column(2).to_pylist():
-                s = shingles(w.split(" "), k)
-                low = minhashes(s, perms)
-                f = fingerprint(low)
-                sets.append(s.tobytes())
-                prints.append(f.tobytes())
-                distances.append(hamming(pivots, f).astype("<u2").tobytes())
-                bands.append(band_keys(low).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, pa.binary()) for x in (sets, prints, distances, bands))], ["field", "rep", "shingles", "print", "pivots", "bands"])
+            sets = [shingles(w.split(" "), k) for w in b.column(2).to_pylist()]
+            prints = np.stack([fingerprint(s) for s in sets]) if sets else np.empty((0, BITS // 8), np.uint8)
+            tables = np.minimum(255, np.stack([hamming(prints, p) for p in shared.value], axis=1)).astype(np.uint8)
+            binary = lambda rows: pa.array([x.tobytes() for x in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(map(len, sets)), pa.int32()), binary(sets), binary(prints), binary(tables)], ["field", "rep", "size", "shingles", "print", "pivots"])
 
-    return reps.select("field", "rep", "words").mapInArrow(run, "field string, rep bigint, shingles binary, print binary, pivots binary, bands binary")
+    return reps.select("field", "rep", "words").mapInArrow(run, "field string, rep bigint, size int, shingles binary, print binary, pivots binary")
 
 
 def band_rows(profile: DataFrame) -> DataFrame:
     """(key, rep): the field is mixed into the key, and told apart again by the join with the profiles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        perms = _permutations(BANDS * ROWS)
         for b in batches:
             mix = np.array([zlib.crc32(f.encode()) for f in b.column(0).to_pylist()], np.int64)
-            keys = np.frombuffer(b"".join(b.column(2).to_pylist()), np.int64).reshape(b.num_rows, BANDS) ^ mix[:, None]
+            keys = np.stack([band_keys(minhashes(np.frombuffer(s, "<u4"), perms)) for s in b.column(2).to_pylist()]) ^ mix[:, None] if b.num_rows else np.empty(0, np.int64)
             rep = np.repeat(b.column(1).to_numpy(zero_copy_only=False), BANDS)
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(rep)], ["key", "rep"])
 
-    return profile.select("field", "rep", "bands").mapInArrow(run, "key bigint, rep bigint")
+    return profile.select("field", "rep", "shingles").mapInArrow(run, "key bigint, rep bigint")
+
+
+def pairs_within(rows: DataFrame, group: list[str], key: str) -> DataFrame:
+    """(group, a, b): the pairs a < b of each group.
+
+    A large group is cut into blocks of BLOCK rows, and each pair of blocks is
+    a key of its own, so that no task has more than BLOCK * BLOCK pairs of it.
+    Rows that are alone go before anything is joined.
+    """
+    whole = Window.partitionBy(*group)
+    numbered = rows.withColumn("no", F.row_number().over(whole.orderBy(key)) - 1).withColumn("n", F.count("*").over(whole)).filter("n > 1")
+    block, last = F.floor(F.col("no") / BLOCK).cast("int"), F.floor((F.col("n") - 1) / BLOCK).cast("int")
+    numbered = cut_lineage(numbered.select(*group, key, block.alias("block"), last.alias("last")))
+    lower = numbered.select(*group, F.col(key).alias("a"), F.col("block").alias("x"), F.explode(F.sequence("block", "last")).alias("y"))
+    upper = numbered.select(*group, F.col(key).alias("b"), F.explode(F.sequence(F.lit(0), F.col("block"))).alias("x"), F.col("block").alias("y"))
+    return lower.join(upper, [*group, "x", "y"]).filter("a < b").select(*group, "a", "b")
 
 
 def candidates(profile: DataFrame) -> DataFrame:
     """(a, b) with a < b that share a band."""
-    keys = band_rows(profile)
-    a, b = keys.alias("a"), keys.alias("b")
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") < F.col("b.rep"))).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
+    return pairs_within(band_rows(profile), ["key"], "rep").select("a", "b").distinct()
 
 
 def near_by_prints(pairs: DataFrame, profile: DataFrame, threshold: float, measure: bool = False) -> DataFrame:
@@ -177,16 +197,16 @@ def near_by_prints(pairs: DataFrame, profile: DataFrame, threshold: float, measu
 
     With measure, all pairs come back with `stage`: pivot, distance or kept.
     """
-    side = lambda x: profile.select("field", F.col("rep").alias(x), F.col("print").alias(f"f_{x}"), F.col("pivots").alias(f"p_{x}"))
-    wide = pairs.join(side("a"), "a").join(side("b"), ["field", "b"]).select("field", "a", "b", "f_a", "f_b", "p_a", "p_b")
-    most = allowed_distance(threshold)
+    side = lambda x: profile.select("field", F.col("rep").alias(x), F.col("size").alias(f"n_{x}"), F.col("print").alias(f"f_{x}"), F.col("pivots").alias(f"p_{x}"))
+    wide = pairs.join(side("a"), "a").join(side("b"), ["field", "b"]).select("field", "a", "b", "n_a", "n_b", "f_a", "f_b", "p_a", "p_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             read = lambda c, t: np.frombuffer(b"".join(batch.column(c).to_pylist()), t).reshape(n, -1)  # noqa: B023, E731
-            near = np.abs(read(5, "<u2").astype(np.int32) - read(6, "<u2")).max(axis=1, initial=0) <= most
-            kept = near & (hamming(read(3, np.uint8), read(4, np.uint8)) <= most)
+            most = allowed_distance(batch.column(3).to_numpy(), batch.column(4).to_numpy(), threshold)
+            near = np.abs(read(7, np.uint8).astype(np.int16) - read(8, np.uint8)).max(axis=1, initial=0) <= most
+            kept = near & (hamming(read(5, np.uint8), read(6, np.uint8)) <= most)
             stage = np.where(kept, "kept", np.where(near, "distance", "pivot"))
             at = pa.array(np.arange(n) if measure else np.flatnonzero(kept), pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in range(3)), pa.array(stage.tolist(), pa.string()).take(at)], ["field", "a", "b", "stage"])
@@ -213,11 +233,11 @@ def near_duplicates(texts: DataFrame, threshold: float = 0.8, k: int = 5, least:
     """Pairs of class representatives (field, a, b, similarity) and membership (field, id, rep).
 
     texts: (field, id, text), in any number of rows per id. Not complete: a pair
-    of similarity 0.4 is a candidate with probability 0.71, see BANDS.
+    of similarity 0.4 is a candidate with probability 0.917, see BANDS.
     """
     members = cut_lineage(classes(texts, max(least, k)))
     reps = members.groupBy("field", "class_id").agg(F.min("id").alias("rep"), F.first("words").alias("words"))
-    profile = cut_lineage(profiles(reps, k))
+    profile = cut_lineage(profiles(reps, k, reference_fingerprints(members, k)))
     pairs = verified(near_by_prints(candidates(profile), profile, threshold), profile, threshold)
     membership = members.select("field", "id", "class_id").distinct().join(reps.select("field", "class_id", "rep"), ["field", "class_id"]).select("field", "id", "rep")
     return pairs, membership
@@ -226,8 +246,7 @@ def near_duplicates(texts: DataFrame, threshold: float = 0.8, k: int = 5, least:
 def all_pairs(pairs: DataFrame, membership: DataFrame) -> DataFrame:
     """Every pair of ids (field, id_a, id_b): copies in one class, and members of similar classes."""
     m = cut_lineage(membership)
-    x, y = m.alias("x"), m.alias("y")
-    same = x.join(y, (F.col("x.field") == F.col("y.field")) & (F.col("x.rep") == F.col("y.rep")) & (F.col("x.id") < F.col("y.id"))).select("x.field", F.col("x.id").alias("i"), F.col("y.id").alias("j"))
+    same = pairs_within(m, ["field", "rep"], "id").select("field", F.col("a").alias("i"), F.col("b").alias("j"))
     across = pairs.join(m.select("field", F.col("rep").alias("a"), F.col("id").alias("i")), ["field", "a"]).join(m.select("field", F.col("rep").alias("b"), F.col("id").alias("j")), ["field", "b"])
     both = same.unionByName(across.select("field", "i", "j"))
     return both.select("field", F.least("i", "j").alias("id_a"), F.greatest("i", "j").alias("id_b")).distinct()

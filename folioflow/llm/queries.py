@@ -44,6 +44,18 @@ def p4_groups(spark: SparkSession, d: str) -> DataFrame:
     return found.select("field", F.col("id").alias("part_id"), "group_id", "links")
 
 
+def p4_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of representatives of different texts, with their similarity; p4_members has whom they stand for."""
+    pairs, _ = neardup.near_duplicates(_part_texts(spark, d), **P4)
+    return pairs.select("field", F.least("a", "b").alias("part_id_a"), F.greatest("a", "b").alias("part_id_b"), F.round("similarity", 4).alias("similarity"))
+
+
+def p4_members(spark: SparkSession, d: str) -> DataFrame:
+    """Every long enough text with the representative of its class of equal texts."""
+    _, members = neardup.near_duplicates(_part_texts(spark, d), **P4)
+    return members.select("field", F.col("id").alias("part_id"), "rep")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return confusables.found(table(spark, d, "parts"))
 
@@ -94,7 +106,7 @@ def p8_documents(spark: SparkSession, d: str) -> DataFrame:
     return best.select("doc_id", "lang", F.round(F.col("c") / F.col("n"), 4).alias("confidence"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_repaired, p4_found, p4_groups, p5_found, p5_groups, p6_ids, p6_decoded, p7_found, p7_refilled, p7_by_item, p8_found, p8_segments, p8_documents)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_repaired, p4_found, p4_groups, p4_pairs, p4_members, p5_found, p5_groups, p6_ids, p6_decoded, p7_found, p7_refilled, p7_by_item, p8_found, p8_segments, p8_documents)}
 SQL: dict[str, str] = {
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
