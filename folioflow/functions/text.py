@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import html.entities
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +24,11 @@ _LABEL = rf"{WS}*\(?([a-z]|\b(?:i{{1,3}}|iv|v)\b){WS}*\)"
 _CUT = "\u001d"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), value worked out once however often it is named."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip(c: Column) -> Column:
     """All white space off both ends (trim takes spaces only)."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
@@ -202,3 +211,29 @@ def html_escape(c: Column) -> Column:
     for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
         c = F.replace(c, F.lit(a), F.lit(b))
     return c
+
+
+def _from_code_point(n: Column) -> Column:
+    """The character of a code point; null where there is none."""
+    there = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+    return F.when(there, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+
+
+def unescape(c: Column) -> Column:
+    """Character references resolved, named ones by HTML's own table; what is no reference stays."""
+    named = F.from_json(F.lit(json.dumps({k[:-1]: v for k, v in html.entities.html5.items() if k.endswith(";")})), "map<string,string>")
+    reference = r"^&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+
+    def resolved(x: Column, name: Column) -> Column:
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).when(F.startswith(name, F.lit("#")), F.substr(name, F.lit(2))).try_cast("bigint")
+        own = F.coalesce(F.when(number.isNotNull(), _from_code_point(number)), F.try_element_at(named, name))
+        return let(own, lambda y: F.when(y.isNull(), x).otherwise(F.concat(y, F.substr(x, F.length(name) + 3))))
+
+    def every(x: Column) -> Column:
+        pieces = F.split(x, r"(?=&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);)", -1)
+        return F.array_join(F.transform(pieces, lambda y: let(F.regexp_extract(y, reference, 1), lambda name: resolved(y, name))), "")
+
+    def usual(x: Column) -> Column:
+        return let(F.replace(F.replace(F.replace(x, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&quot;"), F.lit('"')), lambda y: F.when(y.contains("&"), every(x)).otherwise(y))
+
+    return let(c, lambda x: F.when(x.contains("&"), usual(x)).otherwise(x))

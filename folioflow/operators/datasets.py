@@ -11,6 +11,8 @@ from folioflow.functions import text as t
 #: Fixed value: the grammar of question ids.
 QUESTION_ID = r"^\d{1,2}(\([a-z]+\))*(\((?:i{1,3}|iv|v)\))*$"
 FIELDS = ("text", "answer", "working", "notes")
+#: Selection numbers counted by one task.
+STRETCH = 10_000
 
 
 def questions(datasets: DataFrame, order: str = "dataset_id") -> DataFrame:
@@ -70,8 +72,12 @@ def math_counts(datasets: DataFrame, order: str = "dataset_id", valid=m.is_valid
     return segs.groupBy(order).agg(F.sum(F.size("s")).alias("segments"), F.sum(F.size(F.filter("s", lambda x: ~valid(x)))).alias("invalid"))
 
 
-def health(datasets: DataFrame, order: str = "dataset_id", valid=m.is_valid) -> DataFrame:
-    """One report per dataset with its verdict: FAIL, WARN or PASS."""
+def health(datasets: DataFrame, order: str = "dataset_id", valid=m.is_valid, counts: DataFrame | None = None) -> DataFrame:
+    """One report per dataset with its verdict: FAIL, WARN or PASS.
+
+    counts: (dataset_id, segments, invalid, validated) by a renderer; without it math is judged by `valid` and counts as not validated.
+    """
+    counts = math_counts(datasets, order, valid).withColumn("validated", F.lit(False)) if counts is None else counts
     one = datasets.dropDuplicates([order])
     real = F.filter("questions", lambda q: q.isNotNull())
     base = one.select(
@@ -80,19 +86,19 @@ def health(datasets: DataFrame, order: str = "dataset_id", valid=m.is_valid) ->
         F.greatest(F.coalesce(F.size("latex_repairs"), F.lit(0)), F.lit(0)).alias("fallbacks"),
     )
     found = anomalies(datasets, order).groupBy(order).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "anomaly"))), lambda x: x["anomaly"]).alias("anomalies"))
-    rep = base.join(found, order, "left").join(math_counts(datasets, order, valid), order, "left")
-    rep = rep.withColumn("anomalies", F.coalesce("anomalies", F.array().cast("array<string>"))).fillna(0, ["segments", "invalid"])
+    rep = base.join(found, order, "left").join(counts, order, "left")
+    rep = rep.withColumn("anomalies", F.coalesce("anomalies", F.array().cast("array<string>"))).fillna(0, ["segments", "invalid"]).fillna(False, ["validated"])
     broken = F.exists("anomalies", lambda a: a.contains("suspicious id") | a.contains("duplicate"))
     verdict = F.when((F.col("invalid") > 0) | broken, "FAIL").when((F.size("anomalies") > 0) | (F.col("fallbacks") > 0), "WARN").otherwise("PASS")
-    return rep.select(order, "paper", "kind", "questions", "total_marks", F.col("segments").alias("math_segments"), F.col("invalid").alias("math_invalid"), "fallbacks", "anomalies", verdict.alias("verdict"))
+    return rep.select(order, "paper", "kind", "questions", "total_marks", F.col("segments").alias("math_segments"), F.col("invalid").alias("math_invalid"), "validated", "fallbacks", "anomalies", verdict.alias("verdict"))
 
 
 def report_text(most: int = 12) -> Column:
-    """A report as text: a headline, the first anomalies, how many more there are."""
-    head = F.format_string(
-        "[%s] %s (%s): %d questions, %d marks, KaTeX %d/%d valid, %d fallbacks",
-        "verdict", "paper", "kind", "questions", "total_marks", F.col("math_segments") - F.col("math_invalid"), "math_segments", "fallbacks",
-    )
+    """A report as text: a headline, the first anomalies, how many more there are. Only what a renderer has judged is called valid."""
+    math = F.when(F.col("validated"), F.format_string("KaTeX %d/%d valid", F.col("math_segments") - F.col("math_invalid"), "math_segments")).otherwise(
+        F.format_string("math not validated (%d/%d with balanced braces)", F.col("math_segments") - F.col("math_invalid"), "math_segments")
+    )
+    head = F.format_string("[%s] %s (%s): %d questions, %d marks, %s, %d fallbacks", "verdict", "paper", "kind", "questions", "total_marks", math, "fallbacks")
     shown = F.transform(F.slice("anomalies", 1, most), lambda a: F.concat(F.lit("    ! "), a))
     more = F.when(F.size("anomalies") > most, F.array(F.format_string("    ... +%d more", F.size("anomalies") - most))).otherwise(F.array().cast("array<string>"))
     return F.array_join(F.concat(F.array(head), shown, more), "\n")
@@ -101,10 +107,6 @@ def report_text(most: int = 12) -> Column:
 # -- texts ----------------------------------------------------------------------
 
 
-def _lines(*pieces: Column) -> Column:
-    return F.concat(*pieces)
-
-
 def dataset_markdown() -> Column:
     """A dataset row as Markdown. Missing marks print as None; working, answer and guidance before plain text."""
     s = lambda c: F.coalesce(c.cast("string"), F.lit(""))
@@ -131,24 +133,40 @@ def dataset_markdown() -> Column:
     return F.array_join(F.concat(head, F.flatten(F.transform(qs, question))), "\n")
 
 
-def _paper(selected: DataFrame, card: Column) -> DataFrame:
-    """(cards, total) in selection order; numbers follow the questions found."""
-    numbered = selected.filter("found").withColumn("no", F.row_number().over(Window.orderBy("sel_no"))).withColumn("m", F.coalesce("marks", F.lit(0)))
-    one = numbered.withColumn("card", card).agg(F.array_sort(F.collect_list(F.struct("no", "card"))).alias("c"), F.sum("m").alias("t"))
+def _numbered(selected: DataFrame) -> DataFrame:
+    """The questions found with `no`, their number in selection order, and m, their marks.
+
+    Counted in two levels: within stretches of STRETCH selection numbers, and over the stretches' sizes, of which there are few.
+    """
+    found = selected.filter("found").withColumn("m", F.coalesce("marks", F.lit(0))).withColumn("stretch", F.floor(F.col("sel_no") / STRETCH))
+    sizes = found.groupBy("stretch").agg(F.count("*").alias("n_"))
+    ahead = sizes.withColumn("ahead", F.coalesce(F.sum("n_").over(Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n_")
+    inside = F.row_number().over(Window.partitionBy("stretch").orderBy("sel_no", "paper", "id"))
+    return found.withColumn("inside", inside).join(ahead, "stretch").withColumn("no", (F.col("ahead") + F.col("inside")).cast("int")).drop("ahead", "inside", "stretch")
+
+
+def _paper(cards: DataFrame) -> DataFrame:
+    """(cards, total): the one text of a custom paper holds all its cards, so they come together in one row."""
+    one = cards.agg(F.array_sort(F.collect_list(F.struct("no", "card"))).alias("c"), F.sum("m").alias("t"))
     return one.select(F.coalesce(F.transform("c", lambda x: x["card"]), F.array().cast("array<string>")).alias("cards"), F.coalesce("t", F.lit(0)).alias("total"))
 
 
-def paper_markdown(selected: DataFrame, title: str = "Custom Paper") -> DataFrame:
+def markdown_cards(selected: DataFrame) -> DataFrame:
+    """(no, sel_no, m, card): the text of each question of a custom paper."""
     figs = F.array_join(F.transform(F.coalesce("diagrams", F.expr("array()")), lambda d: F.concat(F.lit("\n\n![diagram]("), d, F.lit(")"))), "")
     card = F.concat(F.format_string("## %d. (%s %s)  [%d marks]\n\n", "no", "paper", "id", "m"), F.coalesce("text", F.lit("")), figs, F.lit("\n"))
-    return _paper(selected, card).select(F.concat_ws("\n", F.lit(f"# {title}\n"), F.array_join("cards", "\n"), F.format_string("---\n**Total: %d marks**", "total")).alias("markdown"))
+    return _numbered(selected).select("no", "sel_no", "m", card.alias("card"))
 
 
-def paper_html(selected: DataFrame, title: str = "Custom Paper", images: DataFrame | None = None) -> DataFrame:
-    """The paper as a page of HTML. images: (path, content); a figure without an image is left out."""
+def paper_markdown(selected: DataFrame, title: str = "Custom Paper") -> DataFrame:
+    return _paper(markdown_cards(selected)).select(F.concat_ws("\n", F.lit(f"# {title}\n"), F.array_join("cards", "\n"), F.format_string("---\n**Total: %d marks**", "total")).alias("markdown"))
+
+
+def html_cards(selected: DataFrame, images: DataFrame | None = None) -> DataFrame:
+    """(no, sel_no, m, card): each question of a custom paper as HTML. images: (path, content); a figure without an image is left out."""
     e = t.html_escape
     if images is not None:
-        pairs = selected.select("sel_no", F.posexplode_outer("diagrams").alias("i", "path")).join(images, "path").select("sel_no", "i", t.data_url(F.col("content")).alias("url"))
+        pairs = selected.select("sel_no", F.posexplode("diagrams").alias("i", "path")).join(images, "path").select("sel_no", "i", t.data_url(F.col("content")).alias("url"))
         by_sel = pairs.groupBy("sel_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "url"))), lambda x: x["url"]).alias("urls"))
         selected = selected.join(by_sel, "sel_no", "left")
     else:
@@ -158,6 +176,11 @@ def paper_html(selected: DataFrame, title: str = "Custom Paper", images: DataFra
         F.format_string('<div class="q"><div class="qh"><span>Q%d &middot; %s %s</span><span class="mk">[%d marks]</span></div><div class="qb">', F.col("no"), e(F.col("paper")), e(F.col("id")), F.col("m")),
         e(F.coalesce("text", F.lit(""))), F.lit("</div>"), figs, F.lit("</div>"),
     )
-    page = _paper(selected, card)
-    head = F.concat(F.lit('<!doctype html>\n<html><head><meta charset="utf-8"><title>'), e(F.lit(title)), F.lit("</title></head>\n<body><h1>"), e(F.lit(title)), F.lit("</h1>"))
+    return _numbered(selected).select("no", "sel_no", "m", card.alias("card"))
+
+
+def paper_html(selected: DataFrame, title: str = "Custom Paper", images: DataFrame | None = None) -> DataFrame:
+    """The paper as a page of HTML."""
+    page = _paper(html_cards(selected, images))
+    head = F.concat(F.lit('<!doctype html>\n<html><head><meta charset="utf-8"><title>'), t.html_escape(F.lit(title)), F.lit("</title></head>\n<body><h1>"), t.html_escape(F.lit(title)), F.lit("</h1>"))
     return page.select(F.concat(head, F.array_join("cards", ""), F.format_string("\n<p><strong>Total: %d marks</strong></p>\n</body></html>", "total")).alias("html"))

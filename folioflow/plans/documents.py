@@ -76,7 +76,7 @@ def question_parts(spark: SparkSession, d: str) -> DataFrame:
 
 def merged_parts(spark: SparkSession, d: str) -> DataFrame:
     rows = _prose(spark, d).withColumns({c: F.lit("") for c in ("answer", "working", "notes")})
-    rows = rows.withColumn("ord", F.col("page").cast("bigint") * p.PER_PAGE + F.col("ord"))
+    rows = rows.withColumn("ord", p.order(F.col("page"), 1, F.lit(0), F.col("ord")))
     return p.merge_parts(rows).select("doc_id", "id", "page", "marks", "text")
 
 
@@ -86,7 +86,7 @@ def paper_totals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def document_parts(spark: SparkSession, d: str) -> DataFrame:
-    return p.merge_parts(p.drop_stems(p.document_parts(table(spark, d, "ocr_pages"))))
+    return p.merge_parts(p.drop_stems(p.document_parts(table(spark, d, "ocr_pages")))).drop("ord")
 
 
 def carried_numbers(spark: SparkSession, d: str) -> DataFrame:

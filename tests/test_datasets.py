@@ -50,7 +50,7 @@ def test_health(spark):
 def test_report_shows_twelve(spark):
     many = frame(spark, ("p", "", "", "insert", "", 1, [Q(str(i), None) for i in range(1, 16)], None))
     lines = ds.health(many).select(ds.report_text().alias("t")).first().t.split("\n")
-    assert lines[0] == "[WARN] p (insert): 15 questions, 0 marks, KaTeX 0/0 valid, 0 fallbacks" and len(lines) == 14 and lines[-1] == "    ... +3 more"
+    assert lines[0] == "[WARN] p (insert): 15 questions, 0 marks, math not validated (0/0 with balanced braces), 0 fallbacks" and len(lines) == 14 and lines[-1] == "    ... +3 more"
 
 
 def test_dataset_markdown(spark):

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from folioflow.operators import tables
@@ -38,11 +40,51 @@ def test_other_tables_give_no_parts(spark):
     assert parts(spark, "<table><tr><td>a</td></tr><tr><td>1</td></tr></table>", "<table></table>") == []
 
 
-def test_grid_spans():
-    html = '<table><tr><td rowspan="9">q</td><td>a</td><td>b</td></tr><tr><td>c</td><td>d</td></tr><tr><td colspan="2">e</td></tr><tr><td>x</td><td>y</td><td>z</td></tr><tr><td>s</td></tr></table>'
-    assert tables.grid(html) == [["q", "a", "b"], ["q", "c", "d"], ["q", "e", ""], ["x", "y", "z"], ["s", "", ""]]
-    assert tables.grid("<table><tr><td rowspan='x'>a<br>b &amp; c</td></tr><tr><td>open") == [["a\nb & c"]]
-    assert tables.grid("") == []
+def grids(spark, *htmls):
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(htmls)], "i int, markdown string")
+    return [r.grids for r in tables.with_grids(df).orderBy("i").collect()]
+
+
+def test_grid_spans(spark):
+    spanned = '<table><tr><td rowspan="9">q</td><td>a</td><td>b</td></tr><tr><td>c</td><td>d</td></tr><tr><td colspan="2">e</td></tr><tr><td>x</td><td>y</td><td>z</td></tr><tr><td>s</td></tr></table>'
+    plain = "<table><tr><td rowspan='x' colspan='2'>a<br>b &amp; c</td><td>d</td></tr><tr><td>open<td><b>e</b><!-- f --></td></tr><tr><td>lost</table>"
+    wide = "<table><tr><td colspan=3>w</td><td rowspan=3>h</td></tr><tr><td>1</td><td colspan='2' rowspan=2>2</td></tr><tr><td>3</td><td>4</td></tr></table>"
+    got = grids(spark, spanned, "x" + plain + spanned, wide, "none", None, "<table></table>")
+    assert got[0] == [[["q", "a", "b"], ["q", "c", "d"], ["q", "e", ""], ["x", "y", "z"], ["s", "", ""]]]
+    assert got[1] == [[["a\nb & c", "d"], ["e", ""]], got[0][0]]
+    assert got[2] == [[["w", "", "", "h"], ["1", "2", "", "h"], ["3", "2", "4", "h"]]]
+    assert got[3:] == [[], [], [[]]]
+
+
+def sequential(rows):
+    """The layout by plain steps, a place at a time."""
+    width = max((sum(a for _, _, a in r) for r in rows), default=0)
+    hanging, out = {}, []
+    for row in rows:
+        if sum(a for _, _, a in row) >= width:
+            hanging = {}
+        line, rest = [], list(row)
+        while len(line) < width:
+            left, text = hanging.get(len(line), (0, ""))
+            if left:
+                hanging[len(line)] = (left - 1, text)
+                line.append(text)
+            elif rest:
+                text, down, across = rest.pop(0)
+                if down > 1:
+                    hanging[len(line)] = (down - 1, text)
+                line += [text] + [""] * (across - 1)
+            else:
+                line.append("")
+        out.append(line)
+    return out
+
+
+def test_spans_equal_a_sequential_layout(spark):
+    rng = random.Random(8)
+    many = [[[(f"t{rng.randrange(99)}", rng.choice([1, 1, 1, 2, 3, 5]), rng.choice([1, 1, 1, 2, 3])) for _ in range(rng.randrange(0, 5))] for _ in range(rng.randrange(0, 7))] for _ in range(400)]
+    html = ["<table>" + "".join("<tr>" + "".join(f'<td rowspan="{d}" colspan="{a}">{x}</td>' for x, d, a in r) + "</tr>" for r in t) + "</table>" for t in many]
+    assert [g[0] for g in grids(spark, *html)] == [sequential(t) for t in many]
 
 
 def test_splice(spark):
