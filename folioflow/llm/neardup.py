@@ -34,10 +34,12 @@ from pyspark.sql import functions as F
 
 from folioflow.session import cut_lineage
 
-#: A pair of similarity s is a candidate with probability 1 - (1 - s^ROWS)^BANDS: 0.917 at 0.4, 0.982 at 0.45, 0.998 at 0.5, 0.999998 at 0.6.
-BANDS, ROWS = 96, 4
+#: Min-hashes, and the bands of ROWS of them each; every min-hash is in two bands. A pair of similarity 0.4 is a candidate with probability 0.903, of 0.45 with 0.974, of 0.5 with 0.995 (simulated).
+MINHASHES, BANDS, ROWS = 192, 96, 4
 #: Reference fingerprints, and bits of a fingerprint.
 PIVOTS, BITS = 32, 256
+#: Band rows of a bucket, about. Marks of a row: its key has others in its batch (one such row stands for them), or that is known and nothing more is to be found out.
+BUCKET_ROWS, SHARED, KNOWN = 1 << 14, 1, 2
 #: Rows of a group that one task pairs with as many others.
 BLOCK = 512
 _WORD = re.compile(r"[^\W_]+")
@@ -81,9 +83,18 @@ def minhashes(s: np.ndarray, perms: tuple[np.ndarray, np.ndarray]) -> np.ndarray
     return h.min(axis=0).astype(np.uint64)
 
 
+def _bands(seed: int = 13) -> np.ndarray:
+    """The min-hashes of each band: those of one permutation in turn, then those of another."""
+    rng = np.random.default_rng(seed)
+    return np.concatenate([rng.permutation(MINHASHES).reshape(-1, ROWS) for _ in range(BANDS * ROWS // MINHASHES)])
+
+
+_BANDS = _bands()
+
+
 def band_keys(low: np.ndarray) -> np.ndarray:
     """A key per band: its number above 32 hashed bits of its min-hashes."""
-    low = low[: BANDS * ROWS].reshape(BANDS, ROWS)
+    low = low[_BANDS]
     key = np.full(BANDS, 0x9E3779B97F4A7C15, np.uint64)
     for i in range(ROWS):
         key = (key ^ low[:, i]) * np.uint64(0xFF51AFD7ED558CCD)
@@ -157,18 +168,74 @@ def profiles(reps: DataFrame, k: int, pivots: np.ndarray) -> DataFrame:
     return reps.select("field", "rep", "words").mapInArrow(run, "field string, rep bigint, size int, shingles binary, print binary, pivots binary")
 
 
-def band_rows(profile: DataFrame) -> DataFrame:
-    """(key, rep): the field is mixed into the key, and told apart again by the join with the profiles."""
+def band_buckets(profile: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, rows): the band rows of the representatives by their keys, as bytes of pairs of integers, the key and the representative with a mark.
+
+    Of a key that has several rows in a batch, one goes to the key's bucket,
+    marked SHARED, the others, marked KNOWN, to buckets in turn. So no bucket
+    gathers the rows of a frequent key.
+    The field is mixed into the key, and told apart again by the join with the profiles.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        perms = _permutations(BANDS * ROWS)
+        perms = _permutations(MINHASHES)
         for b in batches:
+            if not b.num_rows:
+                continue
             mix = np.array([zlib.crc32(f.encode()) for f in b.column(0).to_pylist()], np.int64)
-            keys = np.stack([band_keys(minhashes(np.frombuffer(s, "<u4"), perms)) for s in b.column(2).to_pylist()]) ^ mix[:, None] if b.num_rows else np.empty(0, np.int64)
-            rep = np.repeat(b.column(1).to_numpy(zero_copy_only=False), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(rep)], ["key", "rep"])
+            keys = (np.stack([band_keys(minhashes(np.frombuffer(s, "<u4"), perms)) for s in b.column(2).to_pylist()]) ^ mix[:, None]).ravel()
+            order = np.argsort(keys)
+            keys, reps = keys[order], np.repeat(b.column(1).to_numpy(zero_copy_only=False), BANDS)[order]
+            new = np.concatenate([[True], keys[1:] != keys[:-1]])
+            alone = new & np.concatenate([new[1:], [True]])
+            mark = np.where(alone, 0, np.where(new, SHARED, KNOWN))
+            bucket = np.where(mark == KNOWN, np.arange(len(keys)), keys) & (buckets - 1)
+            order = np.argsort(bucket, kind="stable")
+            rows = np.stack([keys[order], reps[order] * 4 + mark[order]], axis=1)
+            of, first = np.unique(bucket[order], return_index=True)
+            offsets = np.append(first, len(rows)).astype(np.int64) * 16
+            blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(of), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
+            yield pa.RecordBatch.from_arrays([pa.array(of), blobs.cast(pa.binary())], ["bucket", "rows"])
+
+    return profile.select("field", "rep", "shingles").mapInArrow(run, "bucket bigint, rows binary")
+
+
+def shared_keys(buckets: DataFrame) -> DataFrame:
+    """The band rows (key, rep) whose key has another one. Nearly all are alone; they go here, a bucket at a time."""
+
+    def shared(rows: np.ndarray) -> pa.RecordBatch:
+        key, rep, mark = rows[:, 0], rows[:, 1] >> 2, rows[:, 1] & 3
+        known = mark == KNOWN
+        order = np.flatnonzero(~known)
+        order = order[np.argsort(key[order])]
+        k = key[order]
+        same = k[1:] == k[:-1]
+        keep = mark[order] == SHARED
+        keep[1:] |= same
+        keep[:-1] |= same
+        at = np.concatenate([order[keep], np.flatnonzero(known)])
+        return pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(rep[at])], ["key", "rep"])
 
-    return profile.select("field", "rep", "shingles").mapInArrow(run, "key bigint, rep bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, open_ = [], None  # rows of the bucket that the next batch may go on with
+        for b in batches:
+            of = b.column(0).to_numpy(zero_copy_only=False)
+            blobs = b.column(1).to_pylist()
+            if not len(of):
+                continue
+            ends = int(np.searchsorted(of, of[-1]))  # rows of the last bucket begin here
+            if ends:
+                yield shared(np.frombuffer(b"".join(held + blobs[:ends]), np.int64).reshape(-1, 2))
+                held = []
+            elif held and open_ != of[-1]:
+                yield shared(np.frombuffer(b"".join(held), np.int64).reshape(-1, 2))
+                held = []
+            held += blobs[ends:]
+            open_ = of[-1]
+        if held:
+            yield shared(np.frombuffer(b"".join(held), np.int64).reshape(-1, 2))
+
+    return buckets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "key bigint, rep bigint")
 
 
 def pairs_within(rows: DataFrame, group: list[str], key: str) -> DataFrame:
@@ -189,7 +256,9 @@ def pairs_within(rows: DataFrame, group: list[str], key: str) -> DataFrame:
 
 def candidates(profile: DataFrame) -> DataFrame:
     """(a, b) with a < b that share a band."""
-    return pairs_within(band_rows(profile), ["key"], "rep").select("a", "b").distinct()
+    rows = profile.count() * BANDS
+    buckets = 1 << max(8, (rows // BUCKET_ROWS).bit_length())
+    return pairs_within(shared_keys(band_buckets(profile, buckets)), ["key"], "rep").select("a", "b").distinct()
 
 
 def near_by_prints(pairs: DataFrame, profile: DataFrame, threshold: float, measure: bool = False) -> DataFrame:
@@ -233,7 +302,7 @@ def near_duplicates(texts: DataFrame, threshold: float = 0.8, k: int = 5, least:
     """Pairs of class representatives (field, a, b, similarity) and membership (field, id, rep).
 
     texts: (field, id, text), in any number of rows per id. Not complete: a pair
-    of similarity 0.4 is a candidate with probability 0.917, see BANDS.
+    of similarity 0.4 is a candidate with probability 0.903, see BANDS.
     """
     members = cut_lineage(classes(texts, max(least, k)))
     reps = members.groupBy("field", "class_id").agg(F.min("id").alias("rep"), F.first("words").alias("words"))

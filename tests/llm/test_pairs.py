@@ -1,5 +1,6 @@
 import random
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
@@ -99,6 +100,28 @@ def test_large_groups_are_cut_into_blocks(spark, monkeypatch):
     assert got == sorted((g, i * 3, j * 3) for g, size in ((1, 40), (2, 7), (3, 8)) for i in range(size) for j in range(i + 1, size))
 
 
+def test_rows_that_are_alone_go(spark):
+    rng = random.Random(5)
+    texts = [[rng.choice(VOCAB) for _ in range(30)] for _ in range(40)]
+    texts += [[rng.choice(VOCAB) if rng.random() < 0.2 else w for w in rng.choice(texts)] for _ in range(40)] + [texts[0]] * 15
+    df = spark.createDataFrame([("text", i, " ".join(w)) for i, w in enumerate(texts)], "field string, rep bigint, words string")
+    profile = n.profiles(df, 3, n.reference_fingerprints(df.withColumn("class_id", F.col("words")), 3))
+    perms = n._permutations(n.MINHASHES)
+    mix = zlib.crc32(b"text")
+    rows = [(int(k) ^ mix, i) for i, w in enumerate(texts) for k in n.band_keys(n.minhashes(n.shingles(w), perms))]
+    count = Counter(k for k, _ in rows)
+    want = sorted(r for r in rows if count[r[0]] > 1)
+    assert 15 * n.BANDS < len(want) < len(rows)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (old, "3", "1"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            for buckets in (1, 64):
+                assert sorted((r.key, r.rep) for r in n.shared_keys(n.band_buckets(profile, buckets)).collect()) == want, (size, buckets)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
 def test_discarding_loses_nothing(spark):
     rng = random.Random(3)
     rows = [("text", 2 * i + j, " ".join(w)) for i in range(60) for j, w in enumerate(near_limit(rng, 0.3, 0.7))] + [("text", 999, " ".join(rng.choice(VOCAB) for _ in range(5000)))]
