@@ -22,7 +22,9 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from math import ceil
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ WINDOW, PIECE, SHARE = 5, 10, 0.5
 ASIDE, ANCHORS = 3, 2
 #: Tasks among which the documents of one window are split.
 SALT = 8
+#: Characters of all items up to which their table is broadcast.
+BROADCAST_CHARS = 8_000_000
 #: Bits of the filter of the items' window hashes (1 MB whatever the number of items).
 BITS = 1 << 23
 _WORD = re.compile(r"[^\W_]+")
@@ -149,14 +153,22 @@ def matched(doc: list[str], item: list[str], diagonals: list[int], piece: int =
     """How many of the item's words stand in the document, in pieces of at least `piece` words, or in one that is enough by itself.
 
     diagonals: place in the document less place in the item, of equal windows.
-    Along each diagonal the words are compared; inside a piece single words may
+    Where less than half of the words needed are equal letter for letter,
+    nothing is held. Along each diagonal the words are compared; inside a piece single words may
     be changed, and one may be added or lost where the piece goes on.
     kinds: the slots of document and item; with them a consistently refilled slot counts as held.
     """
+    spans = [(d, max(0, -d), min(len(item), len(doc) - d)) for d in diagonals]
+    alike = 0
+    for d, lo, hi in spans:
+        alike += sum(map(eq, doc[lo + d : hi + d], item[lo:hi]))
+        if kinds:
+            alike += sum(kinds[1][i] != "-" and kinds[0][i + d] == kinds[1][i] and doc[i + d] != item[i] for i in range(lo, hi))
+    if 2 * alike < share * len(item):
+        return 0
     values = slot_values(doc, item, kinds, diagonals) if kinds else {}
     runs = []
-    for d in diagonals:
-        lo, hi = max(0, -d), min(len(item), len(doc) - d)
+    for d, lo, hi in spans:
         ok = [x == y or _close(x, y) for x, y in zip(doc[lo + d : hi + d], item[lo:hi])]
         if kinds:  # a slot counts by its value's one counterpart
             for i in range(lo, hi):
@@ -234,25 +246,29 @@ def document_hits(documents: DataFrame, bits: np.ndarray, sizes: list[int]) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
-        for b in batches:
-            ids, words, kinds, hashes, places = [], [], [], [], []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                pairs = tokens(text)
-                own, of = [x for x, _ in pairs], slot_kinds([t for _, t in pairs])
-                found, where = [], []
-                for size in sizes:
-                    h = window_hashes(own, of, size)
-                    low = h & (BITS - 1)
-                    at = np.flatnonzero((w[low >> 6] >> (low & 63)) & 1)
-                    found.append(h[at])
-                    where.append(at)
-                if any(map(len, found)):
-                    ids.append(i)
-                    words.append(" ".join(own))
-                    kinds.append(of)
-                    hashes.append(np.concatenate(found).tolist())
-                    places.append(np.concatenate(where).tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.string()), pa.array(kinds, pa.string()), pa.array(hashes, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))], ["doc_id", "words", "kinds", "hashes", "places"])
+        for b in batches if sizes else ():
+            read = [tokens(text) for text in b.column(1).to_pylist()]
+            own, of = [[x for x, _ in pairs] for pairs in read], [slot_kinds([t for _, t in pairs]) for pairs in read]
+            # the windows of all texts of the batch at once; those that reach into the next text go
+            n = np.fromiter(map(len, own), np.int64, len(own))
+            doc, ends = np.repeat(np.arange(len(own)), n), np.cumsum(n)
+            all_words, all_kinds = list(chain.from_iterable(own)), "".join(of)
+            found, where = [], []
+            for size in sizes:
+                h = window_hashes(all_words, all_kinds, size)
+                low = h & (BITS - 1)
+                at = np.flatnonzero((w[low >> 6] >> (low & 63)) & 1)
+                at = at[at + size <= ends[doc[at]]]
+                found.append(h[at])
+                where.append(at)
+            at = np.concatenate(where)
+            order = np.argsort(doc[at], kind="stable")
+            at, hashes = at[order], np.concatenate(found)[order]
+            keep, counts = np.unique(doc[at], return_counts=True)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+            places = pa.array(at - (ends - n)[doc[at]], pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, x) for x in (pa.array(hashes), places)]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep)), pa.array([" ".join(own[i]) for i in keep], pa.string()), pa.array([of[i] for i in keep], pa.string()), *lists], ["doc_id", "words", "kinds", "hashes", "places"])
 
     texts = documents.select("doc_id", "text").filter("text <> ''")
     return texts.mapInArrow(run, "doc_id bigint, words string, kinds string, hashes array<bigint>, places array<int>")
@@ -282,7 +298,11 @@ def compared(documents: DataFrame, items: DataFrame, share: float = SHARE) -> Da
     salted = windows.select("hash", "item_id", "at", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
     near = hits.join(salted, ["hash", "salt"]).groupBy("doc_id", "item_id").agg(F.collect_set(F.col("place") - F.col("at")).alias("diagonals"))
     texts = items.select("item_id", F.col("text").alias("item")).filter("text is not null").distinct()
-    return near.join(texts, "item_id").join(docs.select("doc_id", "words", "kinds"), "doc_id").select("doc_id", "item_id", "diagonals", "words", "kinds", "item")
+    words = docs.select("doc_id", "words", "kinds")
+    small = (texts.agg(F.sum(F.length("item")).alias("n")).first().n or 0) <= BROADCAST_CHARS
+    # a large table of items goes to the pairs before they are wide
+    wide = near.join(words, "doc_id").join(F.broadcast(texts), "item_id") if small else near.join(texts, "item_id").join(words, "doc_id")
+    return wide.select("doc_id", "item_id", "diagonals", "words", "kinds", "item")
 
 
 def _pairs(documents: DataFrame, items: DataFrame, share: float, piece: int, refill: bool) -> DataFrame:
