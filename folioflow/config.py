@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, fields, replace
 
+#: Where systems keep their certificates.
+CA_BUNDLES = ("/etc/ssl/certs/ca-certificates.crt", "/etc/pki/tls/certs/ca-bundle.crt")
 _TRUE = {"1", "true", "yes", "on"}
 
 
@@ -25,10 +27,12 @@ class Config:
     cache_dir: str = "ocr_cache"
     assets_dir: str = "assets"
     visitor_token: str = ""
+    model: str = ""
+    ca_bundle: str = ""
 
     @classmethod
     def from_env(cls, env: dict[str, str] | None = None) -> Config:
-        """A value that is no number where one is due falls back to the default."""
+        """A value that is no number where one is due falls back to the default; certificates to those of the system."""
         env = os.environ if env is None else env
         out = cls()
         for f in fields(cls):
@@ -46,7 +50,7 @@ class Config:
             else:
                 value = raw
             out = replace(out, **{f.name: value})
-        return out
+        return out if out.ca_bundle else replace(out, ca_bundle=next((x for x in CA_BUNDLES if os.path.exists(x)), ""))
 
     def validate(self) -> None:
         if self.backend != "mock" and not self.api_key:

@@ -162,11 +162,16 @@ def paper_markdown(selected: DataFrame, title: str = "Custom Paper") -> DataFram
     return _paper(markdown_cards(selected)).select(F.concat_ws("\n", F.lit(f"# {title}\n"), F.array_join("cards", "\n"), F.format_string("---\n**Total: %d marks**", "total")).alias("markdown"))
 
 
+def _file_name(path: str) -> Column:
+    return F.regexp_extract(path, r"[^/\\]*$", 0)
+
+
 def html_cards(selected: DataFrame, images: DataFrame | None = None) -> DataFrame:
-    """(no, sel_no, m, card): each question of a custom paper as HTML. images: (path, content); a figure without an image is left out."""
+    """(no, sel_no, m, card): each question of a custom paper as HTML. images: (path, content), matched by file name; a figure without an image is left out."""
     e = t.html_escape
     if images is not None:
-        pairs = selected.select("sel_no", F.posexplode("diagrams").alias("i", "path")).join(images, "path").select("sel_no", "i", t.data_url(F.col("content")).alias("url"))
+        pairs = selected.select("sel_no", F.posexplode("diagrams").alias("i", "path")).select("sel_no", "i", _file_name("path").alias("name"))
+        pairs = pairs.join(images.select(_file_name("path").alias("name"), "content"), "name").select("sel_no", "i", t.data_url(F.col("content")).alias("url"))
         by_sel = pairs.groupBy("sel_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "url"))), lambda x: x["url"]).alias("urls"))
         selected = selected.join(by_sel, "sel_no", "left")
     else:

@@ -30,10 +30,10 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
 
 def with_text_layer(pages: DataFrame, words: DataFrame) -> DataFrame:
     """pages with what the text layer knows: lost question numbers put back, and pages of next to no content rebuilt."""
-    numbers = marks.question_numbers(words).groupBy(*_PAGE).agg(F.array_sort(F.collect_list(F.struct("y", "x", F.col("number").alias("n")))).alias("numbers_"))
+    numbers = marks.question_numbers(words).groupBy(*_PAGE).agg(F.array_sort(F.collect_list(F.struct("y", F.col("number").alias("n")))).alias("numbers_"))
     rows = pages.join(numbers, _PAGE, "left").join(marks.rebuilt_text(words).withColumnRenamed("text", "rebuilt_"), _PAGE, "left")
     text = F.coalesce("markdown", F.lit(""))
-    none = F.array().cast("array<struct<y:double,x:double,n:int>>")
+    none = F.array().cast("array<struct<y:double,n:int>>")
     rows = rows.withColumn("markdown", t.inject_number(text, F.coalesce("numbers_", none)))
     return rows.withColumn("markdown", t.sparse_fallback(F.col("markdown"), F.coalesce("rebuilt_", F.lit("")))).drop("numbers_", "rebuilt_")
 
@@ -155,19 +155,19 @@ def merge_parts(parts: DataFrame, figures: bool = False) -> DataFrame:
     )
 
 
-def attach_figures(parts: DataFrame, pages: DataFrame) -> DataFrame:
+def attach_figures(parts: DataFrame, pages: DataFrame, least: float = g.MIN_FIGURE_AREA) -> DataFrame:
     """(doc_id, page, part_no, ord, id, fig_no, asset): figures by their middle on the page's n parts, from top to bottom."""
     place = Window.partitionBy("doc_id", "page").orderBy("ord")
     numbered = parts.select("doc_id", "page", "ord", "id", (F.row_number().over(place) - 1).alias("part_no"))
     n = parts.groupBy("doc_id", "page").agg(F.count("*").alias("n"))
-    found = pages.select("doc_id", "page", "height", F.posexplode(g.large_figures(F.col("elements"), F.col("width"), F.col("height"))).alias("i", "box"))
+    found = pages.select("doc_id", "page", "height", F.posexplode(g.large_figures(F.col("elements"), F.col("width"), F.col("height"), least)).alias("i", "box"))
     at = F.when(F.col("n") == 1, 0).otherwise(g.part_index(F.col("box"), F.col("height"), F.col("n")))
     placed = found.join(n, ["doc_id", "page"]).select("doc_id", "page", (F.col("i") + 1).alias("fig_no"), "box", at.alias("part_no"))
     rows = placed.join(numbered, ["doc_id", "page", "part_no"])
     return rows.select("doc_id", "page", "part_no", "ord", "id", "fig_no", t.asset_name(F.col("doc_id"), F.col("page"), F.col("fig_no")).alias("asset"), F.col("box.y0").alias("y0"))
 
 
-def assembled_parts(pages: DataFrame, words: DataFrame | None = None, rescued: DataFrame | None = None) -> DataFrame:
+def assembled_parts(pages: DataFrame, words: DataFrame | None = None, rescued: DataFrame | None = None, least_figure: float = g.MIN_FIGURE_AREA) -> DataFrame:
     """Merged parts with their figures, from pages each once.
 
     In order: text layer, rescued tables, junk lines, carry, segmentation,
@@ -181,12 +181,12 @@ def assembled_parts(pages: DataFrame, words: DataFrame | None = None, rescued: D
     if words is not None:
         parts = marks.fill_orphans(marks.fill_marks(parts, marks.band_marks(words)), marks.orphan_marks(words))
     parts = cut_lineage(parts)  # read by figures, stems and merge
-    figures = attach_figures(parts, pages).groupBy("doc_id", "page", "ord").agg(F.transform(F.array_sort(F.collect_list(F.struct("y0", "fig_no", "asset"))), lambda x: x["asset"]).alias("diagrams"))
+    figures = attach_figures(parts, pages, least_figure).groupBy("doc_id", "page", "ord").agg(F.transform(F.array_sort(F.collect_list(F.struct("y0", "fig_no", "asset"))), lambda x: x["asset"]).alias("diagrams"))
     parts = parts.join(figures, ["doc_id", "page", "ord"], "left").withColumn("diagrams", F.coalesce("diagrams", F.array().cast("array<string>")))
     return merge_parts(drop_stems(parts), figures=True)
 
 
-def datasets(pages: DataFrame, words: DataFrame | None = None, rescued: DataFrame | None = None, sanitize: bool = True, valid=m.is_valid, command: list[str] | None = None) -> DataFrame:
+def datasets(pages: DataFrame, words: DataFrame | None = None, rescued: DataFrame | None = None, sanitize: bool = True, valid=m.is_valid, command: list[str] | None = None, least_figure: float = g.MIN_FIGURE_AREA) -> DataFrame:
     """One nested dataset per document, as the reader and the JSON sink have it.
 
     Answer fields are null unless it is a marking scheme. With sanitize, the
@@ -194,7 +194,7 @@ def datasets(pages: DataFrame, words: DataFrame | None = None, rescued: DataFram
     text, by `valid` or by the renderer that `command` runs.
     """
     pages = distinct_pages(pages)
-    merged = assembled_parts(pages, words, rescued)
+    merged = assembled_parts(pages, words, rescued, least_figure)
     meta = t.parse_filename(F.col("doc_id"))
     scheme = meta["kind"] == "marking_scheme"
     only = lambda c: F.when(scheme, F.col(c)).alias(c)

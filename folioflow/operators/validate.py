@@ -10,7 +10,7 @@ from functools import reduce
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions import math as m
@@ -82,10 +82,12 @@ def sanitized_datasets(datasets: DataFrame, order: str = "dataset_id", valid=m.i
     else:
         bad = lambda x: ~valid(x)
     none = F.array().cast("array<string>")
-    problems = [
-        F.coalesce(F.transform(F.filter(F.col(f"s_{f}"), lambda s: s["is_math"] & bad(s["content"])), lambda s, f=f: F.concat(F.coalesce("id", F.lit("None")), F.lit(f":{f} escaped invalid latex ("), F.left(s["content"], F.lit(40)), F.lit(")"))), none)
-        for f in FIELDS
-    ]
+
+    def problems_of(f: str) -> Column:
+        listed = F.filter(F.col(f"s_{f}"), lambda s: s["is_math"] & bad(s["content"]))
+        return F.coalesce(F.transform(listed, lambda s: F.concat(F.coalesce("id", F.lit("None")), F.lit(f":{f} escaped invalid latex ("), F.left(s["content"], F.lit(40)), F.lit(")"))), none)
+
+    problems = [problems_of(f) for f in FIELDS]
     fixed = {f: F.coalesce(m.join_segments(F.transform(F.col(f"s_{f}"), m.as_text_if(bad))), F.col(f)) for f in FIELDS}
     row = F.struct("ord", F.struct("id", "marks", fixed["text"].alias("text"), "diagrams", "page", *[fixed[f].alias(f) for f in FIELDS[1:]]).alias("q"), reduce(lambda a, b: F.concat(a, b), problems).alias("p"))
     by = q.select(order, row.alias("r")).groupBy(order).agg(F.array_sort(F.collect_list("r"), lambda a, b: a["ord"] - b["ord"]).alias("r"))

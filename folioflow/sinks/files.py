@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,15 +17,27 @@ def write_datasets(datasets: DataFrame, folder: str, partitions: list[str] = ())
     (w.partitionBy(*partitions) if partitions else w).json(folder)
 
 
+def file_system(folder: str, shared: bool = True):
+    """(file system, path) of a folder, by its address; a path without one is of this machine, which on a cluster (shared) no other sees."""
+    if "://" in folder:
+        return fs.FileSystem.from_uri(folder)
+    if shared:
+        raise ValueError(f"{folder}: on a cluster the folder needs an address, such as hdfs://host/folder")
+    return fs.LocalFileSystem(), str(Path(folder).resolve())
+
+
 def _write_each(rows: DataFrame, folder: str, suffix: str) -> None:
     """(name, content) rows as single files, written where the rows are."""
+    shared = not rows.sparkSession.sparkContext.master.startswith("local")
+    file_system(folder, shared)
 
     def run(part):
-        out = Path(folder)
-        out.mkdir(parents=True, exist_ok=True)
+        system, path = file_system(folder, shared)
+        system.create_dir(path, recursive=True)
         for r in part:
-            data = r.content if isinstance(r.content, (bytes, bytearray)) else r.content.encode("utf-8")
-            (out / f"{r.name}{suffix}").write_bytes(bytes(data))
+            data = bytes(r.content) if isinstance(r.content, (bytes, bytearray)) else r.content.encode("utf-8")
+            with system.open_output_stream(f"{path}/{r.name}{suffix}") as out:
+                out.write(data)
 
     rows.foreachPartition(run)
 

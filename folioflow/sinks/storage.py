@@ -1,4 +1,9 @@
-"""Upload of files to an object store behind a small HTTP interface."""
+"""Upload of files to an object store behind a small HTTP interface.
+
+A file is announced at /upload/init, its bytes go to the addresses given
+there, and /upload/confirm makes it a file of the store. Large files go up in
+parts, which /upload/complete-multipart puts together.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +12,6 @@ from pathlib import Path
 
 from folioflow.functions.text import MEDIA_TYPES
 
-#: Files above this size go up in parts.
-PART_BYTES = 8 << 20
-
 
 def media_type(path: str | Path) -> str:
     return MEDIA_TYPES.get(Path(path).suffix.lower(), "application/octet-stream")
@@ -29,11 +31,13 @@ def visitor_token(folder: str | Path) -> str:
 class Storage:
     """Client of the store. A bearer token goes before a visitor token; an HTTP error or success=false raises."""
 
-    def __init__(self, base_url: str, bearer: str = "", visitor: str = "", session=None, timeout: int = 120):
+    def __init__(self, base_url: str, bearer: str = "", visitor: str = "", session=None, timeout: int = 120, ca_bundle: str = ""):
         if session is None:
             import requests
 
             session = requests.Session()
+            if ca_bundle:
+                session.verify = ca_bundle
         self.base, self.bearer, self.visitor, self.http, self.timeout = base_url.rstrip("/"), bearer, visitor, session, timeout
 
     def headers(self) -> dict[str, str]:
@@ -41,65 +45,53 @@ class Storage:
             return {"Authorization": f"Bearer {self.bearer}"}
         return {"X-Visitor-Token": self.visitor} if self.visitor else {}
 
-    def _checked(self, answer) -> dict:
-        if answer.status_code >= 400:
-            raise RuntimeError(f"the store answered {answer.status_code}")
-        body = answer.json()
-        if body.get("success") is False:
-            raise RuntimeError(str(body.get("error", "the store refused")))
-        return body
-
     def post(self, path: str, body: dict) -> dict:
-        return self._checked(self.http.post(f"{self.base}{path}", json=body, headers=self.headers(), timeout=self.timeout))
-
-    def get(self, path: str) -> dict:
-        return self._checked(self.http.get(f"{self.base}{path}", headers=self.headers(), timeout=self.timeout))
+        answer = self.http.post(self.base + path, json=body, headers=self.headers(), timeout=self.timeout)
+        try:
+            said = answer.json()
+        except ValueError:
+            said = {"success": False}
+        if answer.status_code >= 400 or said.get("success") is False:
+            raise RuntimeError(f"{path} was answered by {answer.status_code}: {said}")
+        return said
 
     def health(self) -> bool:
+        """Whether the store says that it is well."""
         try:
-            self.get("/health")
+            answer = self.http.get(f"{self.base}/health", headers=self.headers(), timeout=self.timeout)
+            return answer.status_code < 400 and answer.json().get("status") == "ok"
         except Exception:
             return False
-        return True
 
-    def create_collection(self, name: str) -> dict:
-        return self.post("/collection", {"name": name})
+    def create_collection(self, files: int | None = None) -> dict:
+        """The new collection: its id and url."""
+        return self.post("/collection", {} if files is None else {"expected_file_count": files})["collection"]
 
-    def upload(self, path: str | Path, collection: str | None = None) -> str:
-        """The address of the uploaded file: announce, put, confirm."""
+    def upload(self, path: str | Path, collection: str | None = None) -> dict:
+        """The uploaded file as the store names it: its id and url."""
         file = Path(path)
-        size = file.stat().st_size
-        plan = self.post("/upload/init", {"filename": file.name, "content_type": media_type(file), "size": size, **({"collection_id": collection} if collection else {})})
-        if plan.get("parts") or plan.get("type") == "multipart":
-            done = self._parts(file, plan)
+        about = {"filename": file.name, "content_type": media_type(file), "size": file.stat().st_size}
+        plan = self.post("/upload/init", about)
+        if plan.get("type") == "multipart":
+            self._send_parts(file, plan)
         else:
-            self._put(plan["upload_url"], file.read_bytes(), media_type(file))
-            done = {}
-        return self.post("/upload/confirm", {"file_id": plan.get("file_id"), **done})["url"]
+            given = {k: v[0] if isinstance(v, list) else v for k, v in (plan.get("headers") or {}).items()}
+            self._send(plan["upload_url"], file.read_bytes(), {"Content-Type": about["content_type"], **given})
+        return self.post("/upload/confirm", {**about, "r2_key": plan["r2_key"], **({"collection_id": collection} if collection else {})})["file"]
 
-    def _parts(self, file: Path, plan: dict) -> dict:
-        size = plan.get("part_size") or PART_BYTES
-        urls, tags = {p["part_number"]: p["url"] for p in plan.get("parts") or []}, []
+    def _send_parts(self, file: Path, plan: dict) -> None:
+        urls = {int(n): url for n, url in (plan.get("initial_urls") or {}).items()}
+        sent = []
         with file.open("rb") as f:
-            for n, block in enumerate(iter(lambda: f.read(size), b""), 1):
-                url = urls.get(n) or self.post("/upload/part", {"file_id": plan.get("file_id"), "part_number": n})["url"]
-                tags.append({"part_number": n, "etag": self._put(url, block, "application/octet-stream")})
-        return {"parts": tags}
-
-    def _put(self, url: str, data: bytes, kind: str) -> str:
-        answer = self.http.put(url, data=data, headers={"Content-Type": kind}, timeout=self.timeout)
+            for n in range(1, plan["total_parts"] + 1):
+                if n not in urls:
+                    more = self.post("/upload/parts", {"upload_id": plan["upload_id"], "part_numbers": [n]})
+                    urls |= {int(p["partNumber"]): p["url"] for p in more["part_urls"]}
+                sent.append({"partNumber": n, "etag": self._send(urls[n], f.read(plan["part_size"]), {})})
+        self.post("/upload/complete-multipart", {"upload_id": plan["upload_id"], "parts": sent})
+
+    def _send(self, url: str, data: bytes, headers: dict[str, str]) -> str:
+        answer = self.http.put(url, data=data, headers=headers, timeout=self.timeout)
         if answer.status_code >= 400:
-            raise RuntimeError(f"upload answered {answer.status_code}")
+            raise RuntimeError(f"upload was answered by {answer.status_code}")
         return answer.headers.get("ETag", "")
-
-
-def upload_all(files, storage_args: dict):
-    """files: DataFrame (path). Returns (path, url); one client per partition."""
-
-    def run(batches):
-        store = Storage(**storage_args)
-        for b in batches:
-            b["url"] = [store.upload(p) for p in b.path]
-            yield b[["path", "url"]]
-
-    return files.select("path").mapInPandas(run, "path string, url string")

@@ -10,6 +10,7 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioflow.config import Config
 from folioflow.functions.text import cache_key
@@ -40,6 +41,8 @@ class HttpClient:
 
         self.config, self.session = config, requests.Session()
         self.session.headers["Authorization"] = f"Bearer {config.api_key}"
+        if config.ca_bundle:
+            self.session.verify = config.ca_bundle
 
     def parse(self, image: bytes, page: int) -> str:
         status = None
@@ -48,7 +51,7 @@ class HttpClient:
             if body is None:
                 break
             url = f"data:{kind};base64,{base64.b64encode(body).decode()}"
-            answer = self.session.post(f"{self.config.base_url}/layout_parsing", json={"file": url}, timeout=self.config.timeout_s)
+            answer = self.session.post(f"{self.config.base_url}/layout_parsing", json={"file": url, **({"model": self.config.model} if self.config.model else {})}, timeout=self.config.timeout_s)
             status = answer.status_code
             if status < 400:
                 return answer.text
@@ -113,27 +116,31 @@ def normalised(responses: DataFrame, key: str = "raw_id", column: str = "raw") -
     return responses.select(key, column).mapInPandas(run, f"{key} {kind}, markdown string, elements array<{element}>")
 
 
-def with_cache(images: DataFrame, cache: DataFrame | None, config: Config, pass_name: str = "pass1", client: Client | None = None) -> DataFrame:
+def with_cache(images: DataFrame, cache: DataFrame | None, config: Config, pass_name: str = "pass1", client: Client | None = None, more: tuple[str, ...] = (), in_key: tuple[str, ...] = ()) -> DataFrame:
     """images (doc_id, page, modified, image) with `key` and `response`: from the cache, else from the client.
 
     Only misses reach the client. The key holds backend and resolution besides
     the file, its time and the page, so results of different backends never mix.
+    more: further columns that are kept; in_key: those of them that tell images of one page apart.
     """
     dpi = config.page_dpi if pass_name == "pass1" else config.table_dpi
-    keyed = images.withColumn("key", cache_key(F.col("doc_id"), F.col("modified"), F.col("page"), F.lit(pass_name), F.lit(dpi), F.lit(config.backend)))
-    if cache is None:
-        hits, misses = None, keyed
-    else:
-        hits = keyed.drop("image").join(cache.select("key", F.col("raw").alias("response")), "key")
-        misses = keyed.join(cache.select("key"), "key", "left_anti")
+    keyed = images.withColumn("key", cache_key(F.col("doc_id"), F.col("modified"), F.col("page"), F.lit(pass_name), F.lit(dpi), F.lit(config.backend), *map(F.col, in_key)))
+    names = ["key", "doc_id", "page", "modified", *more]
+    hits = None
+    misses = keyed
+    if cache is not None:
+        known = cache.select("key", F.col("raw").alias("response")).dropDuplicates(["key"])
+        hits = keyed.select(*names).join(known, "key")
+        misses = keyed.join(known.select("key"), "key", "left_anti")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = client or make_client(config)
         for b in batches:
             b["response"] = [c.parse(bytes(image), int(page)) for image, page in zip(b.image, b.page)]
-            yield b[["key", "doc_id", "page", "modified", "response"]]
+            yield b[[*names, "response"]]
 
-    fresh = misses.select("key", "doc_id", "page", "modified", "image").mapInPandas(run, "key string, doc_id string, page int, modified timestamp, response string")
+    schema = T.StructType([*(keyed.schema[n] for n in names), T.StructField("response", T.StringType())])
+    fresh = misses.select(*names, "image").mapInPandas(run, schema)
     return fresh if hits is None else hits.select(fresh.columns).unionByName(fresh)
 
 

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from folioflow import cli
 from folioflow.operators import datasets as ds
 from folioflow.schemas import DATASET
@@ -66,14 +68,15 @@ def test_files_round_trip(spark, tmp_path, capsys):
     (tmp_path / "json/d9.json").write_text("{broken")
     back = read_datasets(spark, str(tmp_path / "json"))
     assert sorted(r.kind for r in back.collect()) == ["insert", "marking_scheme", "question_paper"]
-    assert cli.main(["report", str(tmp_path / "json")]) == 1
+    assert cli.main(["report", "--json-dir", str(tmp_path / "json")]) == 1
     shown = capsys.readouterr().out
     assert "[FAIL]" in shown and "unreadable" in shown
-    assert cli.main(["build", str(tmp_path / "json"), "p/1:1(a)", "-o", str(tmp_path / "p.md"), "--html", str(tmp_path / "p.html")]) == 0
-    assert "later <&>" in (tmp_path / "p.md").read_text() and "1 questions, 4 marks, 0 missing" in capsys.readouterr().out
-    assert cli.main(["build", str(tmp_path / "json"), "nonsense", "-o", str(tmp_path / "q.md")]) == 2
+    assert cli.main(["build", "--json-dir", str(tmp_path / "json"), "--select", "p/1:1(a)", "p/1:99", "--out", str(tmp_path / "p.md"), "--html", str(tmp_path / "p.html")]) == 0
+    assert "later <&>" in (tmp_path / "p.md").read_text() and "1 questions, 4 marks, 1 missing\nmissing: p/1:99" in capsys.readouterr().out
+    assert cli.main(["build", "--json-dir", str(tmp_path / "json"), "--select", "nonsense", "-o", str(tmp_path / "q.md")]) == 2
     assert cli.main(["md", str(tmp_path / "json"), "-o", str(tmp_path / "md")]) == 0
     assert sorted(p.name for p in (tmp_path / "md").glob("*.md")) == ["d1.md", "d2.md", "d4.md"]
+    assert cli.main(["md", str(tmp_path / "json/d1.json"), "--out", str(tmp_path / "one.md")]) == 0 and "## 1(b)" in (tmp_path / "one.md").read_text()
     out.write_datasets(rows, str(tmp_path / "by_kind"), ["kind"])
     assert (tmp_path / "by_kind/kind=insert").exists()
 
@@ -84,3 +87,19 @@ def test_pdf_files(spark, tmp_path):
     (tmp_path / "below").mkdir()
     (tmp_path / "below/n.pdf").write_bytes(b"%PDF")
     assert sorted(r.doc_id for r in pdf_files(spark, str(tmp_path)).collect()) == ["a", "b_c"]
+
+
+def test_a_custom_paper_shows_its_figures(spark):
+    sel = spark.createDataFrame([(20_001, "p", "1", True, 3, "text", ["/x/a.png", "gone.png"]), (7, "p", "2", True, None, "more", None), (9, "p", "3", False, None, None, None), (20_002, "p", "4", True, 1, None, ["a.png"])], "sel_no int, paper string, id string, found boolean, marks int, text string, diagrams array<string>")
+    images = spark.createDataFrame([("/srv/a.png", bytearray(b"abc"))], "path string, content binary")
+    cards = {r.no: (r.sel_no, r.card) for r in ds.html_cards(sel, images).collect()}
+    assert [cards[i][0] for i in (1, 2, 3)] == [7, 20_001, 20_002]
+    assert cards[2][1].count("<img") == 1 and "data:image/png;base64,YWJj" in cards[2][1] and "<img" in cards[3][1] and "<img" not in cards[1][1]
+    html = ds.paper_html(sel, "T & <U>", images).first().html
+    assert html.index("more") < html.index("text") and "T &amp; &lt;U&gt;" in html and "Total: 4 marks" in html
+
+
+def test_a_cluster_needs_an_address():
+    with pytest.raises(ValueError):
+        out.file_system("relative/folder")
+    assert out.file_system("file:///tmp/x")[1] == "/tmp/x" and out.file_system("x", shared=False)[1].endswith("/x")

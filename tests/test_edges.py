@@ -36,21 +36,24 @@ def test_cache_asks_only_for_misses(spark, tmp_path):
 def test_config():
     c = Config.from_env({"FOLIOFLOW_PAGE_DPI": "x", "FOLIOFLOW_TIMEOUT_S": "9", "FOLIOFLOW_TABLE_RESCUE": "off", "FOLIOFLOW_BACKEND": "http"})
     assert (c.page_dpi, c.timeout_s, c.table_rescue) == (200, 9, False)
+    assert Config.from_env({"FOLIOFLOW_CA_BUNDLE": "/x"}).ca_bundle == "/x"
     with pytest.raises(ValueError):
         c.validate()
     assert isinstance(ocr.make_client(Config()), ocr.MockClient)
 
 
 class Http:
-    def __init__(self, answers):
+    """Answers by the end of the address; keeps what was sent."""
+
+    def __init__(self, **answers):
         self.answers, self.calls = answers, []
 
     def _answer(self, method, url, **kw):
         self.calls.append((method, url, kw))
-        status, body = self.answers[url.rsplit("/", 1)[-1]]
+        status, body = self.answers[url.rsplit("/", 1)[-1].replace("-", "_")]
 
         class A:
-            status_code, headers = status, {"ETag": "e"}
+            status_code, headers = status, {"ETag": f"e{len(self.calls)}"}
             json = staticmethod(lambda: body)
 
         return A
@@ -64,22 +67,44 @@ class Http:
     def get(self, url, **kw):
         return self._answer("get", url, **kw)
 
+    def sent(self, end):
+        return [kw["json"] for _, url, kw in self.calls if url.endswith(end)]
+
+
+DONE = (200, {"success": True, "file": {"id": "7", "url": "http://s/7"}})
+
 
 def test_upload(tmp_path):
     f = tmp_path / "a.json"
     f.write_text("{}")
-    http = Http({"init": (200, {"upload_url": "http://s/raw", "file_id": "7"}), "raw": (200, {}), "confirm": (200, {"url": "http://s/7"}), "health": (500, {})})
+    http = Http(init=(200, {"success": True, "type": "single", "upload_url": "http://s/raw", "headers": {"X-A": ["1"]}, "r2_key": "k"}), raw=(200, {}), confirm=DONE)
     s = Storage("http://s/api/", visitor="v", session=http)
-    assert s.upload(f) == "http://s/7" and http.calls[0][2]["headers"] == {"X-Visitor-Token": "v"}
-    assert not s.health() and Storage("b", "t", "v", http).headers() == {"Authorization": "Bearer t"}
-    many = Http({"init": (200, {"type": "multipart", "part_size": 1, "file_id": "7"}), "part": (200, {"url": "http://s/raw"}), "raw": (200, {}), "confirm": (200, {"url": "u"})})
-    assert Storage("http://s", session=many).upload(f) == "u"
-    assert len(many.calls[-1][2]["json"]["parts"]) == 2
+    assert s.upload(f, "c")["url"] == "http://s/7" and http.calls[0][2]["headers"] == {"X-Visitor-Token": "v"}
+    about = {"filename": "a.json", "content_type": "application/json", "size": 2}
+    assert http.sent("/init") == [about] and http.sent("/confirm") == [{**about, "r2_key": "k", "collection_id": "c"}]
+    assert http.calls[1][2]["headers"] == {"Content-Type": "application/json", "X-A": "1"}
+    assert Storage("b", "t", "v", http).headers() == {"Authorization": "Bearer t"}
+    for answer, well in (((200, {"status": "ok"}), True), ((200, {"status": "down"}), False), ((500, {"status": "ok"}), False)):
+        assert Storage("http://s", session=Http(health=answer)).health() is well
     with pytest.raises(RuntimeError):
-        Storage("http://s", session=Http({"collection": (200, {"success": False})})).create_collection("c")
+        Storage("http://s", session=Http(collection=(200, {"success": False}))).create_collection()
+    new = Http(collection=(200, {"collection": {"id": "c", "url": "u"}}))
+    assert Storage("http://s", session=new).create_collection(2)["id"] == "c" and new.sent("/collection") == [{"expected_file_count": 2}]
     assert media_type("x.PDF") == "application/pdf" and visitor_token(tmp_path) == visitor_token(tmp_path)
 
 
+def test_upload_in_parts(tmp_path):
+    f = tmp_path / "a.bin"
+    f.write_bytes(b"abcde")
+    plan = {"type": "multipart", "upload_id": "u", "r2_key": "k", "total_parts": 3, "part_size": 2, "initial_urls": {"1": "http://s/raw"}}
+    http = Http(init=(200, plan), parts=(200, {"part_urls": [{"partNumber": 2, "url": "http://s/raw"}, {"partNumber": 3, "url": "http://s/raw"}]}), raw=(200, {}), complete_multipart=(200, {}), confirm=DONE)
+    assert Storage("http://s", session=http).upload(f)["id"] == "7"
+    assert [kw["data"] for m, _, kw in http.calls if m == "put"] == [b"ab", b"cd", b"e"]
+    assert http.sent("/parts") == [{"upload_id": "u", "part_numbers": [2]}]
+    (whole,) = http.sent("/complete-multipart")
+    assert whole["upload_id"] == "u" and [p["partNumber"] for p in whole["parts"]] == [1, 2, 3] and http.sent("/confirm")[0]["r2_key"] == "k"
+
+
 def test_stream_equals_batch(spark, tmp_path):
     import datetime as dt
 
