@@ -141,12 +141,13 @@ def denormalised_boxes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def box_overlaps(spark: SparkSession, d: str) -> DataFrame:
-    """Overlap of each box with the next one of its page, the second grown to its height again so that some do."""
+    """Overlap of each box with every later one of its page, the later one grown by its height upwards so that some do."""
     boxes = F.transform(F.filter("elements", lambda e: e["bbox"].isNotNull()), lambda e: e["bbox"])
-    rows = _pages(spark, d).select("page_id", F.posexplode(F.arrays_zip(F.slice(boxes, 1, F.greatest(F.size(boxes) - 1, F.lit(0))).alias("a"), F.slice(boxes, 2, F.greatest(F.size(boxes), F.lit(0))).alias("b"))).alias("i", "z")).filter("z.a is not null and z.b is not null")
-    b = F.col("z.b")
+    rows = _pages(spark, d).select("page_id", boxes.alias("boxes")).select("page_id", "boxes", F.posexplode("boxes").alias("i", "a"))
+    rows = rows.select("page_id", "i", "a", F.posexplode("boxes").alias("j", "b")).filter("i < j")
+    b = F.col("b")
     grown = g.box(b["x0"], b["y0"] - (b["y1"] - b["y0"]), b["x1"], b["y1"])
-    return rows.select("page_id", (F.col("i") + 1).alias("n"), F.round(g.iou(F.col("z.a"), grown), 6).alias("iou"))
+    return rows.select("page_id", (F.col("i") + 1).alias("n"), (F.col("j") + 1).alias("m"), F.round(g.iou(F.col("a"), grown), 6).alias("iou"))
 
 
 def merged_boxes(spark: SparkSession, d: str) -> DataFrame:
@@ -308,8 +309,10 @@ def question_paper_against_scheme(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sanitized_datasets(spark: SparkSession, d: str) -> DataFrame:
+    """Every question with its texts repaired, and how many of its dataset's formulas became literal text."""
     rows = validate.sanitized_datasets(table(spark, d, "datasets"))
-    return rows.select("dataset_id", F.to_json("questions").alias("questions"), F.size("latex_repairs").alias("repairs"))
+    rows = rows.select("dataset_id", F.size("latex_repairs").alias("repairs"), F.posexplode("questions").alias("ord", "q"))
+    return rows.select("dataset_id", "ord", "q.id", *[F.col(f"q.{f}").alias(f) for f in ds.FIELDS], "repairs")
 
 
 def dataset_markdown(spark: SparkSession, d: str) -> DataFrame:
@@ -440,10 +443,6 @@ SQL = {
     "spliced_tables": rf"WITH {_PG} SELECT page_id, CASE WHEN page_id % 3 = 0 AND regexp_matches(markdown, '(?is)<table\b.*?</table>') THEN regexp_replace(markdown, '(?is)<table\b.*?</table>', '<table>new</table>') WHEN page_id % 3 = 0 THEN markdown || chr(10) || chr(10) || '<!-- rescued-table (unmatched) -->' || chr(10) || '<table>new</table>' WHEN page_id % 3 = 1 THEN markdown || chr(10) || chr(10) || '<!-- rescued-table (unmatched) -->' || chr(10) || '<table>more</table>' ELSE markdown END AS markdown FROM pg WHERE markdown IS NOT NULL",
     "layout_elements": f"WITH {_PG}, el AS (SELECT page_id, unnest(elements) AS e, CAST(generate_subscripts(elements, 1) AS INTEGER) AS n FROM pg) SELECT page_id, n, lower(e.label) AS label, coalesce(lower(e.label) IN ('table', 'table_full'), false) AS is_table, coalesce(lower(e.label) IN {_IMG}, false) AS is_image FROM el WHERE e IS NOT NULL",
     "denormalised_boxes": f"WITH {_boxes("('table', 'table_full')")} SELECT page_id, CAST(n AS INTEGER) AS n, round(x0, 4) AS x0, round(y0, 4) AS y0, round(x1, 4) AS x1, round(y1, 4) AS y1 FROM dn",
-    "box_overlaps": f"""WITH {_PG}, el AS (SELECT page_id, unnest(elements) AS e, generate_subscripts(elements, 1) AS i FROM pg), bx AS (SELECT page_id, e.bbox AS a, lead(e.bbox) OVER w AS b, CAST(row_number() OVER w AS INTEGER) AS n FROM el WHERE e IS NOT NULL AND e.bbox IS NOT NULL WINDOW w AS (PARTITION BY page_id ORDER BY i)),
-      gr AS (SELECT page_id, n, a, b.x0 AS x0, b.y0 - (b.y1 - b.y0) AS y0, b.x1 AS x1, b.y1 AS y1 FROM bx WHERE b IS NOT NULL),
-      io AS (SELECT page_id, n, greatest(0.0, least(a.x1, x1) - greatest(a.x0, x0)) * greatest(0.0, least(a.y1, y1) - greatest(a.y0, y0)) AS i, (a.x1 - a.x0) * (a.y1 - a.y0) + (x1 - x0) * (y1 - y0) AS s FROM gr)
-      SELECT page_id, n, round(CASE WHEN s - i > 0 THEN i / (s - i) ELSE 0 END, 6) AS iou FROM io""",
     "rescue_regions": f"""WITH {_boxes("('table', 'table_full')")}, {_CELLS.replace(_PG + ",", "", 1).lstrip()},
       sc AS (SELECT DISTINCT doc_id, page FROM rc WHERE row_no = 0 AND list_contains(list_transform(cells, lambda x: lower(x)), 'question') AND list_contains(list_transform(cells, lambda x: lower(x)), 'answer'))
       SELECT page_id, CAST(n AS INTEGER) AS region_no, (s.doc_id IS NULL AND (x1 - x0) * (y1 - y0) / (width * height) <= 0.5) AS rescue, round(y0, 4) AS y0 FROM dn LEFT JOIN sc s USING (doc_id, page)""",
