@@ -2,8 +2,8 @@
 
 The work is done on Arrow buffers: the offsets of a list column give the
 parent index of every child, nulls are filtered out, keys travel by `take`.
-No row is looked at singly. Only the JSON text of OCR responses, whose shape
-differs from row to row, is first decoded into one typed list column.
+No row is looked at singly. The JSON text of OCR responses, whose shape differs
+from row to row, is first read into one typed list column by Spark's parser.
 
 Edge cases (all operators here): a null list, an empty list and a list of
 nulls have no children; an empty string is a child; repeated rows give their
@@ -13,7 +13,8 @@ children once; fields named like a link column get a trailing underscore.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,19 +22,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-_ATTRS = "attrs string"
-LAYOUT_DDL = (
-    "array<struct<label string, content string, bbox array<double>, list_name string, attrs string, "
-    "items array<struct<text string, list_name string, attrs string, items array<struct<text string, attrs string>>>>>>"
-)
-_LEAF = pa.struct([("text", pa.string()), ("attrs", pa.string())])
-_ITEM = pa.struct([("text", pa.string()), ("list_name", pa.string()), ("attrs", pa.string()), ("items", pa.list_(_LEAF))])
-_ELEMENT = pa.struct(
-    [("label", pa.string()), ("content", pa.string()), ("bbox", pa.list_(pa.float64())), ("list_name", pa.string()), ("attrs", pa.string()), ("items", pa.list_(_ITEM))]
-)
-LAYOUT_ARROW = pa.list_(_ELEMENT)
-
+from folioflow.functions import responses as r
 
 # -- Arrow kernels ---------------------------------------------------------
 
@@ -150,58 +141,54 @@ def _loads(s: str):
         return None
 
 
-def _layout(v, depth: int = 0):
-    """The layout list wherever the envelope keeps it, else None."""
-    if depth > 12:
-        return None
-    if isinstance(v, str):
-        s = v.lstrip()
-        return _layout(_loads(s), depth + 1) if s[:1] in ('{', '[', '"') else None
-    if isinstance(v, dict):
-        for name in ("layout_details", "layout"):
-            x = v.get(name)
-            if isinstance(x, str):
-                x = _loads(x)
-            if isinstance(x, list):
-                return x
-        inner = v.values()
-    elif isinstance(v, list):
-        inner = v
-    else:
-        return None
-    for x in inner:
-        if isinstance(x, (dict, list, str)) and (found := _layout(x, depth + 1)) is not None:
-            return found
+def _layout(v):
+    """The layout list wherever the envelope keeps it, level by level; else None. For what lies deeper than the expressions go."""
+    open_ = deque([v])
+    while open_:
+        v = open_.popleft()
+        if isinstance(v, str) and v.lstrip()[:1] in ("{", "[", '"'):
+            open_.append(_loads(v))
+        elif isinstance(v, dict):
+            for name in r.LAYOUT:
+                x = v.get(name)
+                x = _loads(x) if isinstance(x, str) else x
+                if isinstance(x, list):
+                    return x
+            open_.extend(v[k] for k in sorted(v))
+        elif isinstance(v, list):
+            open_.extend(v)
     return None
 
 
-def _objects(v, out: list | None = None) -> list[dict]:
+def _objects(v: list) -> list[dict]:
     """The objects of a list, those of inner lists included, in order."""
-    out = [] if out is None else out
-    for x in v:
+    out, open_ = [], [v]
+    while open_:
+        x = open_.pop()
         if isinstance(x, dict):
             out.append(x)
         elif isinstance(x, list):
-            _objects(x, out)
+            open_.extend(reversed(x))
     return out
 
 
-def _parts(o: dict) -> tuple[str | None, list[dict], str | None]:
-    """Name and objects of the one list of objects, and the other fields as JSON."""
-    name, inner = None, []
-    for k, v in o.items():
-        if name is None and isinstance(v, list) and any(isinstance(x, dict) for x in v):
-            name, inner = k, [x for x in v if isinstance(x, dict)]
-    rest = {k: v for k, v in o.items() if k != name}
-    return name, inner, json.dumps(rest, ensure_ascii=False) if rest else None
+def _plain(v) -> str:
+    return v if isinstance(v, str) else json.dumps(v, ensure_ascii=False, separators=(",", ":"))
+
 
+def _parts(o: dict) -> tuple[str | None, list[dict], list[tuple[str, str]]]:
+    """Name and objects of the one list of objects, and the other fields as texts."""
+    name = next((k for k in sorted(o) if isinstance(o[k], list) and any(isinstance(x, dict) for x in o[k])), None)
+    inner = [x for x in o[name] if isinstance(x, dict)] if name is not None else []
+    return name, inner, [(k, _plain(v)) for k, v in sorted(o.items()) if k != name and v is not None]
 
-def _text(o: dict, *names: str) -> str | None:
+
+def _text(o: dict, names: tuple[str, ...]) -> str | None:
     return next((v for n in names if isinstance(v := o.get(n), str) and v), None)
 
 
 def _box(o: dict) -> list[float] | None:
-    b = next((o[n] for n in ("bbox_2d", "bbox", "box") if isinstance(o.get(n), list)), None)
+    b = next((o[n] for n in r.BOX if isinstance(o.get(n), list)), None)
     return [float(x) for x in b] if b and all(isinstance(x, (int, float)) for x in b) else None
 
 
@@ -216,31 +203,48 @@ def decode_layout(raw: str | None) -> list[dict] | None:
         items = []
         for i in inner:
             sub, leaves, attrs = _parts(i)
-            items.append({"text": _text(i, "t", "text"), "list_name": sub, "attrs": attrs, "items": [{"text": _text(x, "t", "text"), "attrs": json.dumps(x, ensure_ascii=False)} for x in leaves]})
-        out.append({"label": _text(o, "label", "type"), "content": _text(o, "content", "text"), "bbox": _box(o), "list_name": name, "attrs": rest, "items": items})
+            items.append({"text": _text(i, r.INNER_TEXT), "list_name": sub, "attrs": attrs, "items": [{"text": _text(x, r.INNER_TEXT), "attrs": [(k, _plain(v)) for k, v in sorted(x.items()) if v is not None]} for x in leaves]})
+        out.append({"label": _text(o, r.LABEL), "content": _text(o, r.CONTENT), **dict(zip(r.CORNERS, [*(_box(o) or ()), *[None] * 4])), "list_name": name, "attrs": rest, "items": items})
     return out
 
 
-def decoded(df: DataFrame, key: str = "raw_id", column: str = "raw") -> DataFrame:
-    """(key, layout) of each response, in one Arrow pass."""
+def decoded(df: DataFrame, key: str = "raw_id", column: str = "raw", shape: bool = False) -> DataFrame:
+    """(key, layout) of each response: typed elements, or with `shape` only how they nest.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            layout = pa.array([decode_layout(x) for x in b.column(1).to_pylist()], LAYOUT_ARROW)
-            yield pa.RecordBatch.from_arrays([b.column(0), layout], [key, "layout"])
+    Spark's parser reads texts whose envelopes go down r.DEPTH levels; the few
+    that go deeper are read by a stack, to any depth that is still JSON for the
+    parsers (1,000 levels). Null, cut-off and foreign texts have no elements.
+    """
+    typed = r.shapes if shape else r.elements
+    read = df.select(key, F.col(column).alias("raw_"), r.layout(F.col(column)).alias("read_"))
+    read = read.select(key, F.when(~F.col("read_.deep"), typed(F.col("read_.elements"))).alias("layout"), F.when(F.col("read_.deep"), F.col("raw_")).alias("raw_"))
 
-    kind = df.schema[key].dataType.simpleString()
-    return df.select(key, column).mapInArrow(run, f"{key} {kind}, layout {LAYOUT_DDL}")
+    def by_stack(raw: str) -> list | None:
+        x = decode_layout(raw)
+        return x and [{"items": [{"items": [True] * len(i["items"])} for i in e["items"]]} for e in x] if shape else x
 
+    return with_deep_ones(read, {"layout": by_stack})
 
-def response_nodes(df: DataFrame, key: str = "raw_id", column: str = "raw", src: str = "ocr_raw") -> DataFrame:
-    """(src, rec_id, node) of elements and their inner records, decoded and flattened in the same pass."""
-    data = df.select(F.col(key).alias("rec_id"), F.col(column).alias("raw")).filter(F.col("raw").isNotNull())
+
+def with_deep_ones(read: DataFrame, fix: dict[str, Callable[[str], object]]) -> DataFrame:
+    """read without its column raw_: where that holds a text, too deep for the expressions, the columns of fix are worked out from it; all other rows pass as they are."""
+    names = [c for c in read.columns if c != "raw_"]
+    kinds = {c: to_arrow_type(read.schema[c].dataType) for c in names}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            layout = pa.array([decode_layout(x) for x in b.column(1).to_pylist()], LAYOUT_ARROW)
-            for k, node, _, _, _ in levels(layout, b.column(0), ["items", "items"]):
-                yield pa.RecordBatch.from_arrays([k, node], ["rec_id", "node"])
+            raw = b.column(b.schema.names.index("raw_"))
+            columns = {c: b.column(b.schema.names.index(c)) for c in names}
+            if raw.null_count < len(raw):
+                texts = raw.to_pylist()
+                for c, f in fix.items():
+                    old = columns[c].to_pylist()
+                    columns[c] = pa.array([o if t is None else f(t) for o, t in zip(old, texts)], kinds[c])
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names)
 
-    return data.mapInArrow(run, "rec_id bigint, node string").distinct().select(F.lit(src).alias("src"), "rec_id", "node")
+    return read.mapInArrow(run, T.StructType([read.schema[c] for c in names]))
+
+
+def response_nodes(df: DataFrame, key: str = "raw_id", column: str = "raw", src: str = "ocr_raw") -> DataFrame:
+    """(src, rec_id, node) of elements and their inner records."""
+    return nodes(decoded(df.filter(F.col(column).isNotNull()), key, column, shape=True), key, "layout", ["items", "items"], src)

@@ -1,3 +1,3 @@
 """Registered queries; each module has QUERIES and SQL."""
 
-MODULES = ["documents", "positions", "responses", "problems", "checks"]
+MODULES = ["documents", "positions", "responses", "problems", "checks", "wholes"]

@@ -95,7 +95,10 @@ def carried_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 def assembled_datasets(spark: SparkSession, d: str) -> DataFrame:
     rows = p.datasets(table(spark, d, "ocr_pages"))
-    return rows.select("doc_id", "paper", "series", "kind", "pages", F.size("questions").alias("n_questions"), F.to_json("questions").alias("questions"))
+    ids = F.array_join(F.transform("questions", lambda q: q["id"]), " ").alias("ids")
+    total = F.aggregate("questions", F.lit(0).cast("bigint"), lambda a, q: a + F.coalesce(q["marks"], F.lit(0))).alias("total_marks")
+    figures = F.aggregate("questions", F.lit(0).cast("bigint"), lambda a, q: a + F.size(q["diagrams"])).alias("n_diagrams")
+    return rows.select("doc_id", "paper", "kind", "pages", F.size("questions").alias("n_questions"), total, ids, figures)
 
 
 def dropped_stems(spark: SparkSession, d: str) -> DataFrame:
@@ -466,9 +469,6 @@ SQL = {
     "built_paper": f"WITH {_SEL} SELECT sel_no, s.paper, s.id, i.id IS NOT NULL AS found, marks, text FROM sel s LEFT JOIN idx i ON i.paper = s.paper AND i.id = s.id",
     "missing_selections": f"WITH {_SEL} SELECT sel_no, paper, id FROM sel s WHERE NOT EXISTS (SELECT 1 FROM idx i WHERE i.paper = s.paper AND i.id = s.id)",
     "build_summary": f"WITH {_SEL} SELECT count(i.id) AS n, coalesce(sum(CASE WHEN i.id IS NOT NULL THEN coalesce(marks, 0) END), 0) AS total_marks, count(*) - count(i.id) AS missing FROM sel s LEFT JOIN idx i ON i.paper = s.paper AND i.id = s.id",
-    "health_report": f"WITH {_HEALTH} SELECT * FROM health",
     "duplicate_ids": f"WITH {_QS} SELECT dataset_id, id, count(*) AS n FROM qs GROUP BY ALL HAVING count(*) > 1",
-    "verdict_rollup": f"WITH {_HEALTH} SELECT kind, verdict, count(*) AS n, sum(total_marks) AS marks FROM health GROUP BY ALL",
-    "worst_verdict": f"WITH {_HEALTH} SELECT CASE max(CASE verdict WHEN 'FAIL' THEN 2 WHEN 'WARN' THEN 1 ELSE 0 END) WHEN 2 THEN 'FAIL' WHEN 1 THEN 'WARN' ELSE 'PASS' END AS worst FROM health",
     "question_paper_against_scheme": f"WITH {_QS}, a AS (SELECT paper, series, id, max(marks) AS asked FROM qs WHERE kind = 'question_paper' GROUP BY ALL), b AS (SELECT paper, series, id, max(marks) AS given FROM qs WHERE kind = 'marking_scheme' GROUP BY ALL) SELECT paper, series, id, asked, given, coalesce(asked = given, false) AS equal FROM a JOIN b USING (paper, series, id)",
 }

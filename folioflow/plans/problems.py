@@ -31,11 +31,15 @@ def p1_part_figures(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_elements(spark: SparkSession, d: str) -> DataFrame:
-    return nested.child_table(nested.decoded(table(spark, d, "ocr_raw")), "raw_id", "layout")
+    e = nested.child_table(nested.decoded(table(spark, d, "ocr_raw")), "raw_id", "layout")
+    return e.select("raw_id", "node", "label", "content", "x0", "y0", "x1", "y1")
 
 
 def p1_items(spark: SparkSession, d: str) -> DataFrame:
-    return nested.child_table(nested.decoded(table(spark, d, "ocr_raw")), "raw_id", "layout", ["items"])
+    """The records inside the elements, at both levels."""
+    layouts = nested.decoded(table(spark, d, "ocr_raw"))
+    levels = [nested.child_table(layouts, "raw_id", "layout", path) for path in (["items"], ["items", "items"])]
+    return levels[0].select("raw_id", "node", "parent_node", "ordinal", "text").unionByName(levels[1].select("raw_id", "node", "parent_node", "ordinal", "text"))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import json
+from collections import deque
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -13,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioflow.config import Config
+from folioflow.functions import responses as r
 from folioflow.functions.text import cache_key
-from folioflow.operators.nested import _box, _layout, _loads, _objects, _text
-from folioflow.schemas import CACHE
+from folioflow.operators.nested import _box, _layout, _loads, _objects, _text, with_deep_ones
+from folioflow.schemas import CACHE, ELEMENT
 
 
 class Client(Protocol):
@@ -80,40 +82,38 @@ def normalise(raw: str | None) -> dict:
     Elements without a box of four numbers are left out; a missing label is `text`.
     """
     v = _loads(raw) if raw else None
-    found = _layout(v) or []
-    text = _markdown(v) or ""
     elements = []
-    for o in _objects(found):
+    for o in _objects(_layout(v) or []):
         b = _box(o)
         if b and len(b) == 4:
-            elements.append({"label": _text(o, "label", "type") or "text", "bbox": dict(zip(("x0", "y0", "x1", "y1"), b)), "content": _text(o, "content", "text")})
-    return {"markdown": text, "elements": elements, "raw": raw}
-
-
-def _markdown(v, depth: int = 0) -> str | None:
-    if isinstance(v, str) and v.lstrip()[:1] in ("{", "[", '"') and depth < 12:
-        return _markdown(_loads(v), depth + 1)
-    if isinstance(v, dict):
-        own = _text(v, "md_results", "markdown", "md")
-        if own is not None or "layout_details" in v or "layout" in v:
-            return own
-        return next((x for y in v.values() if isinstance(y, (dict, str, list)) and (x := _markdown(y, depth + 1))), None)
-    if isinstance(v, list):
-        return next((x for y in v if isinstance(y, dict) and (x := _markdown(y, depth + 1))), None)
-    return None
+            elements.append({"label": _text(o, r.LABEL) or "text", "bbox": dict(zip(("x0", "y0", "x1", "y1"), b)), "content": _text(o, r.CONTENT)})
+    return {"markdown": _markdown(v), "elements": elements, "raw": raw}
+
+
+def _markdown(v) -> str:
+    """The text of the first object, level by level, that has one or a layout."""
+    open_ = deque([v])
+    while open_:
+        v = open_.popleft()
+        if isinstance(v, str) and v.lstrip()[:1] in ("{", "[", '"'):
+            open_.append(_loads(v))
+        elif isinstance(v, dict):
+            own = _text(v, r.MARKDOWN)
+            if own is not None or any(n in v for n in r.LAYOUT):
+                return own or ""
+            open_.extend(v[k] for k in sorted(v))
+        elif isinstance(v, list):
+            open_.extend(v)
+    return ""
 
 
 def normalised(responses: DataFrame, key: str = "raw_id", column: str = "raw") -> DataFrame:
     """(key, markdown, elements) of each response; a null or broken one is an empty page."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [normalise(x if isinstance(x, str) else None) for x in b[column]]
-            yield pd.DataFrame({key: b[key], "markdown": [r["markdown"] for r in rows], "elements": [r["elements"] for r in rows]})
-
-    kind = responses.schema[key].dataType.simpleString()
-    element = "struct<label: string, bbox: struct<x0: double, y0: double, x1: double, y1: double>, content: string>"
-    return responses.select(key, column).mapInPandas(run, f"{key} {kind}, markdown string, elements array<{element}>")
+    c = F.col(column)
+    read = responses.select(key, c.alias("raw_"), r.layout(c).alias("l_"), r.markdown(c).alias("m_"))
+    deep = F.coalesce(F.col("l_.deep") | F.col("m_.deep"), F.lit(False))
+    read = read.select(key, F.coalesce("m_.text", F.lit("")).alias("markdown"), F.coalesce(r.boxed_elements(F.col("l_.elements")), F.array().cast(f"array<{ELEMENT}>")).alias("elements"), F.when(deep, F.col("raw_")).alias("raw_"))
+    return with_deep_ones(read, {"markdown": lambda x: normalise(x)["markdown"], "elements": lambda x: normalise(x)["elements"]})
 
 
 def with_cache(images: DataFrame, cache: DataFrame | None, config: Config, pass_name: str = "pass1", client: Client | None = None, more: tuple[str, ...] = (), in_key: tuple[str, ...] = ()) -> DataFrame:

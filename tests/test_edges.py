@@ -133,24 +133,57 @@ def test_nodes_of_lists(spark, rows):
 
 def brute_nodes(raw):
     """All nodes by plain recursion."""
-    found = nested._layout(nested._loads(raw)) if raw else None
+
+    def loads(s):
+        try:
+            return json.loads(s)
+        except ValueError:
+            return None
+
+    def layout(v):
+        if isinstance(v, str):
+            return layout(loads(v)) if v.lstrip()[:1] in tuple('{["') else None
+        if isinstance(v, dict):
+            for x in (v.get("layout_details"), v.get("layout")):
+                x = loads(x) if isinstance(x, str) else x
+                if isinstance(x, list):
+                    return x
+        return next((x for y in (v.values() if isinstance(v, dict) else v if isinstance(v, list) else ()) if (x := layout(y)) is not None), None)
+
+    def objects(v):
+        return [o for x in v for o in ([x] if isinstance(x, dict) else objects(x) if isinstance(x, list) else [])]
+
+    def records(o):
+        return next((x for v in o.values() if isinstance(v, list) and (x := [y for y in v if isinstance(y, dict)])), [])
+
     out = []
-    for i, e in enumerate(nested._objects(found or []), 1):
-        out.append(str(i))
-        for j, a in enumerate(next(([x for x in v if isinstance(x, dict)] for v in e.values() if isinstance(v, list) and any(isinstance(x, dict) for x in v)), []), 1):
-            out.append(f"{i}.{j}")
-            for k, _ in enumerate(next(([x for x in v if isinstance(x, dict)] for v in a.values() if isinstance(v, list) and any(isinstance(x, dict) for x in v)), []), 1):
-                out.append(f"{i}.{j}.{k}")
+    for i, e in enumerate(objects((layout(loads(raw)) if raw else None) or []), 1):
+        out.append(f"{i}")
+        for j, a in enumerate(records(e), 1):
+            out += [f"{i}.{j}", *(f"{i}.{j}.{k}" for k, _ in enumerate(records(a), 1))]
     return out
 
 
+def deep(v, n, text=False):
+    for i in range(n):
+        v = {"x": v} if i % 2 else [v]
+        v = json.dumps(v) if text and i % 9 == 0 else v
+    return v
+
+
 def test_response_nodes(spark, rows):
     inner = {"layout": [{"bbox": [1, 2], "words": [None, {"t": "a", "alts": [{"t": "b"}, None, {"t": "c"}]}, {"t": "d"}]}, [None, {"label": "x"}, []]]}
     raws = {1: json.dumps(inner), 2: json.dumps({"code": 0, "data": json.dumps(inner)}), 3: json.dumps(json.dumps(inner)), 4: None, 5: "{cut", 6: '{"error": "x"}', 7: json.dumps({"response": {"data": {"layout_details": [[], None]}}}), 8: ""}
+    same = (1, 2, 3, 9, 10, 11)
+    raws |= {9: json.dumps(deep(inner, 7)), 10: json.dumps(deep(inner, 60)), 11: json.dumps({"a": {"b": deep(inner, 20, True)}}), 12: json.dumps({"layout": deep([{"a": 1}, {"b": [{"c": 2}]}], 40, False)}), 13: json.dumps({"layout": deep([{"a": 1}], 3)[0]})}
     df = spark.createDataFrame(list(raws.items()), "raw_id bigint, raw string")
     want = ["1", "1.1", "1.1.1", "1.1.2", "1.2", "2"]
     got = nested.response_nodes(df)
-    assert rows(got) == sorted((("ocr_raw", i, n) for i in (1, 2, 3) for n in want), key=repr)
+    by_raw = {i: sorted(n for _, x, n in rows(got) if x == i) for i in raws}
+    assert all(by_raw[i] == want for i in same) and not any(by_raw[i] for i in (4, 5, 6, 7, 8))
+    assert by_raw[12] == sorted(brute_nodes(raws[12])) and by_raw[13] == sorted(brute_nodes(raws[13]))
+    typed = {r.raw_id: r.layout for r in nested.decoded(df).collect()}
+    assert typed[1] == typed[10] == typed[11] and typed[1][0].items[0].text == "a" and typed[1][0].x0 == 1.0
     real = spark.read.parquet("/root/testdata/sf0.001/ocr_raw.parquet").select("raw_id", "raw").distinct()
     brute = sorted({("ocr_raw", r.raw_id, n) for r in real.collect() for n in brute_nodes(r.raw)}, key=repr)
     assert rows(nested.response_nodes(real)) == brute
