@@ -2,11 +2,13 @@
 
 1. Furniture words are those that stand nearly always in the first or last
    lines of a page; a line made of them is a header or footer, a line that is
-   only a number is a page number by its form, place and page.
+   only a number is a page number by its form, place and page. The words go to
+   the executors as a filter of fixed size.
 2. The lexicon counts every word of the corpus. The character editor is
-   trained on its most frequent words (LEXICON_SAMPLE of them) and proposes
-   edits for each distinct token; a proposal is taken if the lexicon has it
-   far more often than the token.
+   trained on its most frequent words (LEXICON_SAMPLE of them). Each distinct
+   token is joined with the more frequent words of the same strokes, however
+   many of its characters were misread; the perceptron scores the labels that
+   turn it into the word against keeping it, and the better sequence wins.
 3. One pass over the lines emits furniture, carried-over words and tokens that
    may be misread; exact joins with corrections and lexicon follow.
 
@@ -25,19 +27,22 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.llm.confusables import consistent
-from folioflow.llm.editor import CharEditor, is_number, train
+from folioflow.llm.editor import NUMBER, CharEditor, strokes, train
 from folioflow.session import cut_lineage
 
 #: Most frequent words the editor is trained on.
 LEXICON_SAMPLE = 4000
-#: A form must be so many times more frequent than the token it corrects.
-TIMES = 10
-#: Lines at either end of a page that count as its edge; least share there of a furniture word.
-EDGE, EDGE_SHARE = 3, 0.8
+#: A word that a token may be a form of occurs so often at least.
+WORD_LEAST = 3
+#: Lines at either end of a page that count as its edge; least share and number there of a furniture word.
+EDGE, EDGE_SHARE, EDGE_LEAST = 3, 0.8, 6
+#: Bits of the furniture filter (2 MB whatever the number of words) and bits set for an entry.
+FURNITURE_BITS, PROBES = 1 << 24, 3
 #: Bits of the filter of correctable tokens (1 MB).
 TOKEN_BITS = 1 << 23
 
@@ -81,12 +86,8 @@ def furniture_key(word: str) -> str:
     return re.sub(r"\d", "9", w)
 
 
-def furniture_words(pages: DataFrame) -> set[str]:
-    """Words that stand in the edge lines of pages, over all pages.
-
-    A word must stand at least once per thousand pages (and six times) at an
-    edge, so there are at most 1000 times the words of a page's edges.
-    """
+def furniture_words(pages: DataFrame) -> DataFrame:
+    """(word) of the words that stand in the edge lines of pages, over all pages: EDGE_LEAST times at least, however many pages there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -106,44 +107,71 @@ def furniture_words(pages: DataFrame) -> set[str]:
 
     markdown = pages.select("markdown").filter("markdown is not null")
     counts = markdown.mapInArrow(run, "word string, at_edge bigint, inside bigint").groupBy("word").agg(F.sum("at_edge").alias("e"), F.sum("inside").alias("i"))
-    least = max(6, pages.count() / 1000)
-    rows = counts.filter((F.col("e") >= least) & (F.col("e") >= EDGE_SHARE * (F.col("e") + F.col("i")))).select("word").collect()
-    return {r.word for r in rows}
+    return counts.filter((F.col("e") >= EDGE_LEAST) & (F.col("e") >= EDGE_SHARE * (F.col("e") + F.col("i")))).select("word")
+
+
+def furniture_entries(word: str) -> list[str]:
+    """What the filter holds of a word: itself, its beginnings (words are cut off at a page's side) and its strokes (misread forms have the same)."""
+    out = ["=" + word, *("<" + word[:i] for i in range(4, len(word)))]
+    return out if "9" in word or len(word) < 3 else out + ["~" + x for x in strokes(word)]
 
 
-def _near(a: str, b: str) -> bool:
-    """One is the other cut short, or they have equal length and differ in at most a third of the characters."""
-    if len(a) >= 4 and b.startswith(a):
-        return True
-    return len(a) == len(b) >= 3 and sum(x != y for x, y in zip(a, b)) <= max(1, len(a) // 3)
+def _probes(entry: str) -> list[int]:
+    h = xxhash.xxh64_intdigest(entry)
+    return [(h >> 21 * i) % FURNITURE_BITS for i in range(PROBES)]
+
+
+def bit_set(positions: DataFrame, bits: int) -> bytes:
+    """A set of (at, bit) rows as bytes, gathered as at most bits / 64 words."""
+    words = np.zeros(bits // 64, np.int64)
+    for r in positions.groupBy("at").agg(F.bit_or("bit").alias("bits")).collect():
+        words[r.at] = r.bits
+    return words.tobytes()  # little endian: byte h >> 3, bit h & 7
+
+
+def _at_bits(h: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(h >> 6, pa.int64()), pa.array(np.int64(1) << (h & 63), pa.int64())], ["at", "bit"])
+
+
+def furniture_filter(words: DataFrame) -> bytes:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield _at_bits(np.array([h for w in b.column(0).to_pylist() for x in furniture_entries(w) for h in _probes(x)], np.int64))
+
+    return bit_set(words.select("word").mapInArrow(run, "at bigint, bit bigint"), FURNITURE_BITS)
 
 
 class Furniture:
-    def __init__(self, words: set[str]):
-        self.words = words
-        self.by_length: dict[int, list[str]] = {}
-        for w in words:
-            self.by_length.setdefault(len(w), []).append(w)
+    def __init__(self, bits: bytes):
+        self.bits = bits
+        self.words: dict[str, bool] = {}  # caches, emptied when they are large
         self.known: dict[str, bool] = {}
 
-    def like(self, key: str) -> bool:
-        if key in self.words:
-            return True
-        if key not in self.known:
+    def _holds(self, entry: str) -> bool:
+        return all(self.bits[h >> 3] >> (h & 7) & 1 for h in _probes(entry))
+
+    def exact(self, key: str) -> bool:
+        if key not in self.words:
+            if len(self.words) > 200_000:
+                self.words.clear()
+            self.words[key] = self._holds("=" + key)
+        return self.words[key]
+
+    def like(self, word: str) -> bool:
+        """A furniture word, one cut off, or a misread form of one."""
+        if word not in self.known:
             if len(self.known) > 50_000:
                 self.known.clear()
-            longer = (w for n in range(len(key), len(key) + 8) for w in self.by_length.get(n, ()))
-            self.known[key] = any(_near(key, w) for w in longer)
-        return self.known[key]
+            key, bare = furniture_key(word), word.strip(_STRIP).lower()
+            self.known[word] = bool(key) and (self.exact(key) or len(key) >= 4 and self._holds("<" + key) or len(bare) >= 3 and any(self._holds("~" + x) for x in strokes(bare)))
+        return self.known[word]
 
     def header(self, words: list[str]) -> bool:
-        if not words or len(words) > 14:
+        keys = [(w, k) for w in words if (k := furniture_key(w))]
+        if not any(self.exact(k) or "9999/" in k and self.like(w) for w, k in keys):
             return False
-        keys = [k for w in words if (k := furniture_key(w))]
-        if not any(k in self.words or ("9999/" in k and self.like(k)) for k in keys):
-            return False
-        like = [k for k in keys if self.like(k)]
-        return sum(map(len, like)) >= 0.7 * sum(map(len, keys)) and (len(set(like)) >= 2 or "9999/" in like[0])
+        like = [k for w, k in keys if self.like(w)]
+        return sum(map(len, like)) >= 0.7 * sum(len(k) for _, k in keys) and (len(set(like)) >= 2 or "9999/" in like[0])
 
     def kinds(self, lines: list[str], page: int | None, plain: set[str] = frozenset()) -> list[str]:
         """header, pageno or '' for each line. plain: words known to be no furniture."""
@@ -153,7 +181,7 @@ class Furniture:
             if n > 60 and plain.issuperset(words := line.split()) or not n:
                 pass
             elif (s := line.strip()) and s[0] != "<":
-                if len(s) < 24 and _PAGENO.match(s):
+                if _PAGENO.match(s):
                     kind = "pageno"
                 elif not plain.issuperset(words := s.split()) and self.header(words):
                     kind = "header"
@@ -210,51 +238,47 @@ def fit_editor(words: DataFrame, sample: int = LEXICON_SAMPLE) -> tuple[CharEdit
 
 
 def corrections(words: DataFrame, editor: CharEditor) -> DataFrame:
-    """(key, word) of the misread tokens. The proposals are joined with the lexicon, not looked up on one machine."""
-    sc = words.sparkSession.sparkContext
-    shared = sc.broadcast(editor.w)
+    """(key, word) of the misread tokens: each joined with the more frequent words of its strokes, then judged by the editor."""
+    shared = words.sparkSession.sparkContext.broadcast(editor.w)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_strokes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(i, s) for i, k in enumerate(b.column(0).to_pylist()) for s in strokes(k)]
+            at = pa.array([i for i, _ in found], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([s for _, s in found], pa.string()), *(c.take(at) for c in b.columns)], ["strokes", "key", "n", "n_cap"])
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = CharEditor(shared.value)
+        for b in batches:
+            found = [e.judged(k, w, counts) for k, w, *counts in zip(*(c.to_pylist() for c in b.columns))]
+            at = [i for i, f in enumerate(found) if f and f[0] > 0]
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(at, pa.int32())) for c in (0, 1)), pa.array([found[i][1] for i in at], pa.float64())], ["key", "word", "rank"])
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = CharEditor(shared.value)
         for b in batches:
-            key, cand, margin, n, cap, sure = [], [], [], [], [], []
-            for k, n_k, cap_k in zip(*(c.to_pylist() for c in b.columns)):
-                number = is_number(k)
-                for c, m in e.proposals(k):
-                    key.append(k)
-                    cand.append(c.lower())
-                    margin.append(m)
-                    n.append(n_k)
-                    cap.append(cap_k)
-                    sure.append(number)
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.string()), pa.array(cand, pa.string()), pa.array(margin, pa.float64()), pa.array(n, pa.int64()), pa.array(cap, pa.int64()), pa.array(sure, pa.bool_())], ["key", "cand", "margin", "n", "n_cap", "number"])
-
-    # long or foreign tokens have no misreadings of this kind
-    asked = words.filter(F.col("key").rlike(r"^[A-Za-z0-9.'-]{2,40}$") & F.col("key").rlike("[A-Za-z]")).select("key", "n", "n_cap")
-    proposed = asked.mapInArrow(run, "key string, cand string, margin double, n bigint, n_cap bigint, number boolean")
-    numbers = proposed.filter("number").select("key", F.col("cand").alias("word"), F.lit(1.0).alias("weight"))
-    w = words.select(F.col("key").alias("cand"), F.col("n").alias("n_c"), F.col("n_cap").alias("cap_c"))
-    checked = proposed.filter("not number").join(w, "cand").filter((F.col("n_c") >= TIMES * F.col("n")) & (F.col("n_c") >= 3))
-    # a token that is only ever capitalised may be a name; then a common small word doesn't replace it lightly
-    name = (F.col("n_cap") == F.col("n")) & (F.col("cap_c") * 2 < F.col("n_c")) & ~F.col("key").rlike("[0-9]")
-    checked = checked.filter(~name | (F.col("n_c") >= 1000 * F.col("n")))
-    weight = F.log("n_c") + 0.5 * F.col("margin")
-    lexical = checked.select("key", F.col("cand").alias("word"), weight.alias("weight"))
-    return numbers.unionByName(lexical).groupBy("key").agg(F.max_by("word", F.struct("weight", "word")).alias("word"))
-
-
-def token_filter(keys: DataFrame, bits: int = TOKEN_BITS) -> np.ndarray:
-    """A bit set of the hashed keys, of fixed size, gathered as at most bits / 64 words."""
+            keys = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([e.number(k) for k in keys], pa.string())], ["key", "word"])
+
+    # a digit inside tells more than a capital: such a token is no name
+    asked = words.filter(F.col("key").rlike("[A-Za-z]")).select("key", "n", F.when(F.col("key").rlike("[0-9]"), 0).otherwise(F.col("n_cap")).alias("n_cap"))
+    number = F.col("key").rlike(NUMBER)
+    numbers = asked.filter(number).select("key").mapInArrow(decoded, "key string, word string").filter("key <> word").select("key", F.lower("word").alias("word"), F.lit(0.0).alias("rank"))
+    spelled = asked.filter(~number & (F.length("key") > 1)).mapInArrow(of_strokes, "strokes string, key string, n bigint, n_cap bigint")
+    w = spelled.filter(F.col("n") >= WORD_LEAST).select("strokes", F.lower("key").alias("word"), F.col("n").alias("n_w"), F.col("n_cap").alias("cap_w"))
+    pairs = spelled.join(w, "strokes").filter((F.col("n_w") > F.col("n")) & (F.lower("key") != F.col("word"))).select("key", "word", "n", "n_cap", "n_w", "cap_w").distinct()
+    lexical = pairs.mapInArrow(judged, "key string, word string, rank double")
+    return numbers.unionByName(lexical).groupBy("key").agg(F.max_by("word", F.struct("rank", "word")).alias("word"))
+
+
+def token_filter(keys: DataFrame, bits: int = TOKEN_BITS) -> bytes:
+    """A bit set of the hashed keys, of fixed size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            h = np.array([zlib.crc32(k.encode()) & (bits - 1) for k in b.column(0).to_pylist()], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h >> 6, pa.int64()), pa.array(np.int64(1) << (h & 63), pa.int64())], ["at", "bit"])
+            yield _at_bits(np.array([zlib.crc32(k.encode()) & (bits - 1) for k in b.column(0).to_pylist()], np.int64))
 
-    words = np.zeros(bits // 64, np.int64)
-    for r in keys.select("key").mapInArrow(run, "at bigint, bit bigint").groupBy("at").agg(F.bit_or("bit").alias("bits")).collect():
-        words[r.at] = r.bits
-    return words.view(np.uint8)  # little endian: byte h >> 3, bit h & 7
+    return bit_set(keys.select("key").mapInArrow(run, "at bigint, bit bigint"), bits)
 
 
 # -- the pass over the lines ----------------------------------------------------
@@ -277,7 +301,7 @@ def without_tags(raw: list[str]) -> list[str]:
 class Reader:
     """What the pass needs on every executor; all of it of bounded size."""
 
-    furniture: set[str]
+    furniture: bytes
     common: frozenset[str] = frozenset()
     bits: bytes = b""
     mask: int = 0
@@ -297,14 +321,14 @@ class Reader:
         if token in self.common:
             return ""
         k = token_key(token)
-        return k if k not in self.common and (k == "l" or self.maybe(k)) else ""
+        return k if k not in self.common and self.maybe(k) else ""
 
     def learn(self, words: list[str]) -> bool:
         """Whether all words are plain."""
         if len(self.plain) > 300_000:
             self.plain.clear()
         new = [w for w in words if w not in self.plain]
-        good = [w for w in new if (k := furniture_key(w)) not in self.furniture and "9999/" not in k and not any(self.suspect(t) for t in TOKEN.findall(w))]
+        good = [w for w in new if not self.f.exact(k := furniture_key(w)) and "9999/" not in k and not any(self.suspect(t) for t in TOKEN.findall(w))]
         self.plain.update(good)
         return len(good) == len(new)
 
@@ -390,7 +414,7 @@ def fit(all_texts: DataFrame, pages: DataFrame) -> Model:
     bad = {r.key for r in fixes.filter(F.col("key").isin(known)).collect()} if known else set()  # at most the sample
     bits = token_filter(fixes)
     common = frozenset(k for k in known if k not in bad)
-    return Model(Reader(furniture_words(pages), common, bits.tobytes(), TOKEN_BITS - 1), editor, words, fixes)
+    return Model(Reader(furniture_filter(furniture_words(pages)), common, bits, TOKEN_BITS - 1), editor, words, fixes)
 
 
 def whole_words(pieces: DataFrame, model: Model) -> DataFrame:
@@ -439,9 +463,8 @@ def detail(all_texts: DataFrame, model: Model) -> DataFrame:
     hyphens = whole_words(pieces, model).withColumn("kind", F.lit("hyphen")).select(*cols)
     tails = over.select("src", F.col("next_id").alias("rec_id"), F.col("next_no").alias("line_no"), F.lit("tail").alias("kind"), F.lit("").alias("a"), F.col("next").alias("b"), F.lit("").alias("word"))
     tokens = rows.filter("kind = 'token'").drop("kind").withColumn("kind", F.lit("char"))
-    single = tokens.filter("a = 'l'").withColumn("word", F.lit("1")).select(*cols)
     chars = tokens.join(model.fixes.withColumnRenamed("key", "a"), "a").select(*cols)
-    return plain.unionByName(hyphens).unionByName(tails).unionByName(chars).unionByName(single)
+    return plain.unionByName(hyphens).unionByName(tails).unionByName(chars)
 
 
 def defects(pages: DataFrame, parts: DataFrame) -> DataFrame:
