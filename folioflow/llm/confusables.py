@@ -1,10 +1,12 @@
 """One consistent form for text that looks the same but differs in its characters.
 
 Skeleton of a text: decompose, replace every character by the prototype of the
-look-alike table, decompose again. Words with equal skeletons form a group;
-the consistent form of a group is its composed form in one script. A word
-written wholly in foreign letters that all have Latin doubles is decided by
-its group: it is a disguise if the corpus writes that skeleton in Latin more often.
+look-alike table, decompose again. The tokens of all values with equal
+skeletons form a group; the consistent forms of a group are the composed forms
+of its members in one script. A value is found if it holds a token that is no
+consistent form of its group. A word written wholly in foreign letters that
+all have Latin doubles is decided by the group of its word: it is a disguise
+if the corpus writes that skeleton in Latin more often.
 
 Edge cases: null and empty values have no row; line breaks, genuine accented
 letters, whole Greek or Cyrillic words, superscripts, quotation marks and
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions.names import INVISIBLE, LATIN_SHAPES, LOOKALIKES
+from folioflow.session import cut_lineage
 
 _FORMS = ("<wide>", "<narrow>", "<noBreak>", "<font>", "<compat>", "<circle>", "<square>")
 #: Greek letters of Latin shape that nobody uses as a symbol.
@@ -77,7 +80,7 @@ def _script(ch: str) -> str:
 def _one_script(word: str) -> str:
     """The word in the script it belongs to; a mixture that makes no word stays."""
     scripts = {_script(c) for c in word}
-    if "LATIN" in scripts and any(c in LATIN_SHAPES for c in word) and len(word) > 1:
+    if "LATIN" in scripts and any(c in LATIN_SHAPES for c in word):
         word = "".join(LATIN_SHAPES.get(c, c) for c in word)
     foreign = scripts & {"CYRILLIC", "GREEK"}
     if not foreign or ("LATIN" not in scripts and len(foreign) == 1):
@@ -130,22 +133,32 @@ def long_values(parts: DataFrame, fields: tuple[str, ...] = ("text", "answer", "
     return parts.select(key, pairs).select(key, "x.field", "x.value").filter("value is not null")
 
 
-def _judged(values: DataFrame, key: str) -> DataFrame:
-    """Of values with characters beyond ASCII: the consistent form, whether it differs, and the open words."""
+#: What ends a token; other kinds of white space are characters to be judged.
+_SPACE = r"[ \t\r\n]+"
+
+
+def odd_tokens(values: DataFrame, key: str) -> DataFrame:
+    """(key, field, token) of the distinct tokens with characters beyond ASCII of each value."""
+    tokens = F.filter(F.array_distinct(F.split("value", _SPACE)), lambda x: x.rlike(r"[^\x00-\x7F]"))
+    return values.filter(F.col("value").rlike(r"[^\x00-\x7F]")).select(key, "field", F.explode(tokens).alias("token"))
+
+
+def token_forms(tokens: DataFrame) -> DataFrame:
+    """(token, n, skeleton, form, open, word_skeletons) of the distinct tokens: the form in one script, and the words of it that only their group can decide."""
+    counts = tokens.groupBy("token").agg(F.count("*").alias("n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = b.column(2).to_pylist()
-            clean = [consistent(s) for s in text]
-            open_ = [open_words(c) for c in clean]
-            sure = [c != s for c, s in zip(clean, text)]
+            texts = b.column(0).to_pylist()
+            forms = [consistent(s) for s in texts]
+            open_ = [open_words(c) for c in forms]
+            strings = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(clean, pa.string()), pa.array(sure, pa.bool_()), pa.array(open_, pa.list_(pa.string())), pa.array([[skeleton(w).lower() for w in o] for o in open_], pa.list_(pa.string()))],
-                [key, "field", "clean", "sure", "open", "skeletons"],
+                [b.column(0), b.column(1), pa.array(list(map(skeleton, texts)), pa.string()), pa.array(forms, pa.string()), pa.array([[w.lower() for w in o] for o in open_], strings), pa.array([[skeleton(w).lower() for w in o] for o in open_], strings)],
+                ["token", "n", "skeleton", "form", "open", "word_skeletons"],
             )
 
-    schema = f"{key} bigint, field string, clean string, sure boolean, open array<string>, skeletons array<string>"
-    return values.filter(F.col("value").rlike(r"[^\x00-\x7F]")).select(key, "field", "value").mapInArrow(run, schema)
+    return counts.mapInArrow(run, "token string, n bigint, skeleton string, form string, open array<string>, word_skeletons array<string>")
 
 
 def latin_counts(values: DataFrame) -> DataFrame:
@@ -155,15 +168,18 @@ def latin_counts(values: DataFrame) -> DataFrame:
 
 
 def found(parts: DataFrame, key: str = "part_id", fields: tuple[str, ...] = ("text", "answer", "notes")) -> DataFrame:
-    """(part_id, field) of the values that aren't written in the consistent form."""
+    """(part_id, field) of the values that hold a token that is no consistent form of its skeleton's group."""
     values = long_values(parts, fields, key)
-    judged = _judged(values, key).distinct()
-    sure = judged.filter("sure").select(key, "field")
-    forms = judged.select(key, "field", F.explode(F.arrays_zip("open", "skeletons")).alias("x")).select(key, "field", F.lower("x.open").alias("form"), F.col("x.skeletons").alias("skeleton"))
-    n_form = forms.groupBy("form", "skeleton").agg(F.count("*").alias("n_form"))
-    disguised = n_form.join(latin_counts(values), "skeleton").filter("n_latin > n_form").select("form")
-    by_group = forms.join(disguised, "form", "left_semi").select(key, "field")
-    return sure.unionByName(by_group).distinct()
+    tokens = odd_tokens(values, key).distinct()
+    forms = cut_lineage(token_forms(tokens))
+    # the forms of a group are few: its tokens in one script, composed
+    groups_ = forms.groupBy("skeleton").agg(F.collect_set("form").alias("forms"))
+    odd = forms.join(groups_, "skeleton").filter(~F.array_contains("forms", F.col("token"))).select("token")
+    words = forms.select("token", "n", F.explode(F.arrays_zip("open", "word_skeletons")).alias("x")).select("token", "n", F.col("x.open").alias("word"), F.col("x.word_skeletons").alias("skeleton"))
+    written = words.groupBy("word", "skeleton").agg(F.sum("n").alias("n_form"))
+    disguised = written.join(latin_counts(values), "skeleton").filter("n_latin > n_form").select("word")
+    bad = odd.unionByName(words.join(disguised, "word", "left_semi").select("token")).distinct()
+    return tokens.join(bad, "token", "left_semi").select(key, "field").distinct()
 
 
 def groups(parts: DataFrame, key: str = "part_id", fields: tuple[str, ...] = ("text", "answer", "notes")) -> DataFrame:

@@ -35,6 +35,16 @@ def test_found(spark, rows):
     assert c.found(df.limit(0)).count() == 0
 
 
+def test_a_letter_by_itself(spark, rows):
+    assert rows(c.found(parts(spark, "lie in \u0251 line", "4 K and 5 K", "scale: 49.3 \u041a", "take \u03b1 = 3", "a\u00a0gap", "nai\u0308ve", "na\u00efve"))) == [(0, "text"), (2, "text"), (4, "text"), (5, "text")]
+
+
+def test_token_forms_by_group(spark):
+    values = spark.createDataFrame([(1, "f", "t\u04bbe"), (2, "f", "the caf\u00e9"), (3, "f", "cafe\u0301")], "id bigint, field string, value string")
+    got = {r.token: (r.skeleton, r.form) for r in c.token_forms(c.odd_tokens(values, "id")).collect()}
+    assert got == {"t\u04bbe": ("the", "the"), "caf\u00e9": ("cafe\u0301", "caf\u00e9"), "cafe\u0301": ("cafe\u0301", "caf\u00e9")}
+
+
 def test_groups(spark):
     df = parts(spark, "kite", "kitе", "kite", "other", None)
     g = c.groups(df).collect()
