@@ -16,6 +16,7 @@ from folioflow import pipeline
 from folioflow.config import Config
 from folioflow.operators import datasets as ds
 from folioflow.operators import parts, validate
+from folioflow.session import drop_written
 from folioflow.sinks import files as out
 from folioflow.sources import files, ocr
 
@@ -216,7 +217,11 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
-    return a.run(a)
+    try:
+        return a.run(a)
+    finally:
+        if spark := SparkSession.getActiveSession():
+            drop_written(spark)
 
 
 if __name__ == "__main__":

@@ -69,8 +69,12 @@ def selection_numbers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def anomaly_lists(spark: SparkSession, sf: str) -> DataFrame:
-    """The anomalies of each dataset in order."""
-    rows = ds.health(table(spark, sf, "datasets")).select("dataset_id", F.posexplode("anomalies").alias("i", "anomaly"))
+    """The anomalies of each dataset in order, its first question repeated, and its second again under no id with neither marks nor contents."""
+    rows = table(spark, sf, "datasets")
+    kept = F.filter("questions", lambda q: q.isNotNull())
+    blank = lambda q: F.struct(F.concat(F.lit("Q "), q["id"]).alias("id"), F.lit(None).cast("int").alias("marks"), F.lit(" ").alias("text"), *[q[c].alias(c) for c in ("diagrams", "page")], *[F.lit(None).cast("string").alias(c) for c in ("answer", "working", "notes")])
+    rows = rows.withColumn("questions", F.concat(kept, F.slice(kept, 1, 1), F.transform(F.slice(kept, 2, 1), blank)))
+    rows = ds.health(rows).select("dataset_id", F.posexplode("anomalies").alias("i", "anomaly"))
     return rows.select("dataset_id", (F.col("i") + 1).alias("n"), "anomaly")
 
 
@@ -207,6 +211,7 @@ an AS (SELECT dataset_id, 0 AS k, min(i) AS i, 0 AS j, 'duplicate id: ' || id ||
   UNION ALL SELECT dataset_id, 1, i, 1, 'missing marks: ' || id FROM q0 WHERE marks IS NULL
   UNION ALL SELECT dataset_id, 1, i, 2, 'empty content: ' || id FROM q0 WHERE NOT regexp_matches(coalesce(text, ''), '\S') AND NOT regexp_matches(coalesce(answer, ''), '\S')),
 al AS (SELECT dataset_id, CAST(row_number() OVER (PARTITION BY dataset_id ORDER BY k, i, j) AS INTEGER) AS n, anomaly FROM an)"""
+_DIRTIED = "nq AS (SELECT *, row_number() OVER (PARTITION BY dataset_id ORDER BY i) AS r FROM qs), dq AS (SELECT dataset_id, i, id, marks, text, answer FROM nq UNION ALL SELECT dataset_id, 1000000, id, marks, text, answer FROM nq WHERE r = 1 UNION ALL SELECT dataset_id, 1000001, 'Q ' || id, NULL, ' ', NULL FROM nq WHERE r = 2), "
 _PICKED = f"""{d._SEL}, pk AS (SELECT s.sel_no, s.paper, s.id, i.marks, i.text, i.dataset_id, coalesce(i.marks, 0) AS m, row_number() OVER (ORDER BY s.sel_no) AS no FROM sel s JOIN idx i ON i.paper = s.paper AND i.id = s.id),
 fg AS (SELECT dataset_id, id, i, unnest(diagrams) AS f, generate_subscripts(diagrams, 1) AS k FROM (SELECT dataset_id, q.id AS id, q.diagrams AS diagrams, i FROM (SELECT dataset_id, unnest(questions) AS q, generate_subscripts(questions, 1) AS i FROM (SELECT dataset_id, any_value(questions) AS questions FROM datasets GROUP BY dataset_id)) WHERE q IS NOT NULL)),
 fl AS (SELECT dataset_id, id, i, string_agg(chr(10) || chr(10) || '![diagram](' || f || ')', '' ORDER BY k) FILTER (WHERE f IS NOT NULL) AS figs, bool_or(f IS NULL) AS gap FROM fg GROUP BY ALL),
@@ -223,7 +228,7 @@ REPORTS = {
       w AS (SELECT *, CASE WHEN no % 4 = 0 AND k = 1 THEN 99 END AS own FROM q), v AS (SELECT *, sum(CASE WHEN own IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY no, k) AS i FROM w)
       SELECT v.doc_id, CASE WHEN k = 0 THEN CAST(no AS VARCHAR) ELSE no || '(' || chr(CAST(96 + k AS INTEGER)) || ')' END AS id, coalesce(own, mark) AS marks FROM v LEFT JOIN r ON own IS NULL AND r.doc_id = v.doc_id AND r.i = v.i""",
     "selection_numbers": f"WITH {_PICKED} SELECT CAST(no AS INTEGER) AS no, sel_no, m FROM pk",
-    "anomaly_lists": f"WITH {_ANOMALIES} SELECT dataset_id, n, anomaly FROM al",
+    "anomaly_lists": f"WITH {_ANOMALIES.replace('q0 AS (', _DIRTIED + 'q0 AS (').replace('answer FROM qs)', 'answer FROM dq)')} SELECT dataset_id, n, anomaly FROM al",
     "custom_paper_markdown": f"""WITH {_PICKED} SELECT '# Custom Paper' || {_NL} || {_NL} || string_agg('## ' || no || '. (' || p.paper || ' ' || p.id || ')  [' || m || ' marks]' || {_NL} || {_NL} || coalesce(text, '') || coalesce(figs, '') || {_NL}, {_NL} ORDER BY no) || {_NL} || '---' || {_NL} || '**Total: ' || sum(m) || ' marks**' AS markdown
       FROM pk p LEFT JOIN ff ON ff.dataset_id = p.dataset_id AND coalesce(ff.id, '') = p.id""",
     "custom_paper_html": f"""WITH {_PICKED} SELECT '<!doctype html>' || {_NL} || '<html><head><meta charset="utf-8"><title>Custom Paper</title></head>' || {_NL} || '<body><h1>Custom Paper</h1>' ||
