@@ -22,9 +22,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.functions.names import file_key
+from folioflow.session import cut_lineage
 
-#: Bits of the filter at most: 2 MB to broadcast and at most 262,144 words to gather.
-MAX_BITS = 1 << 24
+#: Bits of the filter at most: 8 MB to broadcast and at most 1,048,576 words to gather. Twelve bits a name up to 5.6 million names; beyond, more references are left to the exact join.
+MAX_BITS = 1 << 26
 HASHES = 4
 FOREVER = "9999-12-31 00:00:00"
 
@@ -98,7 +99,8 @@ def dangling(refs: DataFrame, targets: DataFrame, max_bits: int = MAX_BITS) -> D
     """refs (src, rec_id, pos, key, at) without a live target, with reason and period."""
     targets = targets.distinct()
     words = bloom_words(targets.select("key").distinct(), "key", max_bits)
-    refs = refs.distinct().withColumn("maybe", might_hold(words, refs.sparkSession, "key"))
+    # written once: the branches below read it four times, and would each read and decode the references anew
+    refs = cut_lineage(refs.distinct().withColumn("maybe", might_hold(words, refs.sparkSession, "key")))
     period = F.date_format("at", "yyyy-MM").alias("period")
     certain = refs.filter(~F.col("maybe")).select("src", "rec_id", "pos", F.lit("missing").alias("reason"), period)
     open_ = refs.filter("maybe")
