@@ -59,7 +59,7 @@ def orphan_filled_marks(spark: SparkSession, sf: str) -> DataFrame:
     """Parts of documents whose numbers are left out, with their marks in reading order."""
     third = F.regexp_extract("doc_id", r"\d+", 0).cast("bigint") % 3 == 0
     words = positions.words(spark, sf).filter(third & (F.col("x0") >= 100))
-    return marks.fill_orphans(positions._open_parts(spark, sf).filter(third), marks.orphan_marks(words)).select("doc_id", "id", "marks")
+    return marks.fill_orphans(positions._open_parts(spark, sf).filter(third), marks.orphan_marks(words)).select("doc_id", "page", "id", "marks")
 
 
 def selection_numbers(spark: SparkSession, sf: str) -> DataFrame:
@@ -223,10 +223,10 @@ def _esc(c: str) -> str:
 
 
 REPORTS = {
-    "orphan_filled_marks": f"""WITH {positions._B}, om AS (SELECT doc_id, mark, y, x FROM b WHERE o_custkey % 3 = 0 UNION ALL SELECT doc_id, 9, 5.0, 400.0 FROM o WHERE no = 1 AND o_custkey % 3 = 0),
-      r AS (SELECT doc_id, mark, row_number() OVER (PARTITION BY doc_id ORDER BY y, x) AS i FROM om), q AS (SELECT doc_id, no, unnest(CASE WHEN no % 5 = 0 THEN [0] ELSE [1, 2, 3] END) AS k FROM o WHERE o_custkey % 3 = 0),
-      w AS (SELECT *, CASE WHEN no % 4 = 0 AND k = 1 THEN 99 END AS own FROM q), v AS (SELECT *, sum(CASE WHEN own IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY no, k) AS i FROM w)
-      SELECT v.doc_id, CASE WHEN k = 0 THEN CAST(no AS VARCHAR) ELSE no || '(' || chr(CAST(96 + k AS INTEGER)) || ')' END AS id, coalesce(own, mark) AS marks FROM v LEFT JOIN r ON own IS NULL AND r.doc_id = v.doc_id AND r.i = v.i""",
+    "orphan_filled_marks": f"""WITH {positions._B}, om AS (SELECT doc_id, page, mark, y, x FROM b WHERE o_custkey % 3 = 0 UNION ALL SELECT doc_id, page, 9, 5.0, 400.0 FROM o WHERE no = 1 AND o_custkey % 3 = 0),
+      r AS (SELECT doc_id, page, mark, row_number() OVER (PARTITION BY doc_id, page ORDER BY y, x) AS i FROM om), q AS (SELECT doc_id, page, no, unnest(CASE WHEN no % 5 = 0 THEN [0] ELSE [1, 2, 3] END) AS k FROM o WHERE o_custkey % 3 = 0),
+      w AS (SELECT *, CASE WHEN no % 4 = 0 AND k = 1 THEN 99 END AS own FROM q), v AS (SELECT *, sum(CASE WHEN own IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, page ORDER BY no, k) AS i FROM w)
+      SELECT v.doc_id, v.page, CASE WHEN k = 0 THEN CAST(no AS VARCHAR) ELSE no || '(' || chr(CAST(96 + k AS INTEGER)) || ')' END AS id, coalesce(own, mark) AS marks FROM v LEFT JOIN r ON own IS NULL AND r.doc_id = v.doc_id AND r.page = v.page AND r.i = v.i""",
     "selection_numbers": f"WITH {_PICKED} SELECT CAST(no AS INTEGER) AS no, sel_no, m FROM pk",
     "anomaly_lists": f"WITH {_ANOMALIES.replace('q0 AS (', _DIRTIED + 'q0 AS (').replace('answer FROM qs)', 'answer FROM dq)')} SELECT dataset_id, n, anomaly FROM al",
     "custom_paper_markdown": f"""WITH {_PICKED} SELECT '# Custom Paper' || {_NL} || {_NL} || string_agg('## ' || no || '. (' || p.paper || ' ' || p.id || ')  [' || m || ' marks]' || {_NL} || {_NL} || coalesce(text, '') || coalesce(figs, '') || {_NL}, {_NL} ORDER BY no) || {_NL} || '---' || {_NL} || '**Total: ' || sum(m) || ' marks**' AS markdown
