@@ -20,7 +20,6 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -191,10 +190,9 @@ def groups(parts: DataFrame, key: str = "part_id", fields: tuple[str, ...] = ("t
     values = long_values(parts, fields, key).distinct()
     counts = values.groupBy("field", "value").agg(F.count("*").alias("n"))
 
-    @F.pandas_udf("string")
-    def skeletons(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield s.map(skeleton)
+    @F.arrow_udf("string")
+    def skeletons(values: pa.Array) -> pa.Array:
+        return pa.array([s and skeleton(s) for s in values.to_pylist()], pa.string())
 
     ascii_ = counts.filter(~F.col("value").rlike(r"[^\x00-\x7F]")).withColumn("skeleton", F.col("value"))
     other = counts.filter(F.col("value").rlike(r"[^\x00-\x7F]")).withColumn("skeleton", skeletons("value"))

@@ -26,6 +26,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +46,11 @@ BLOCK = 512
 _WORD = re.compile(r"[^\W_]+")
 
 
+_APART = {i: c if (c := chr(i).lower()).isalnum() else " " for i in range(128)}
+
+
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return text.translate(_APART).split() if text.isascii() else _WORD.findall(text.lower())
 
 
 @lru_cache(maxsize=500_000)
@@ -54,15 +58,24 @@ def _word_hash(w: str) -> int:
     return int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
 
 
-def shingles(ws: list[str], k: int = 3) -> np.ndarray:
-    """Hashes of the distinct sequences of k words, sorted, mixed from one 64-bit hash per word."""
-    n = len(ws) - k + 1
-    h = np.fromiter(map(_word_hash, ws), np.uint64, len(ws))
+def shingle_sets(texts: list[list[str]], k: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct sequences of k words of each text, sorted, as one array and its offsets; mixed from one 64-bit hash per word. Texts have k words at least."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    h = np.fromiter(map(_word_hash, chain.from_iterable(texts)), np.uint64, int(lengths.sum()))
+    text = np.repeat(np.arange(len(texts)), lengths)
+    n = max(0, len(h) - k + 1)
     out = np.zeros(n, np.uint64)
     for i in range(k):
         out = (out ^ h[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(32)
-    return np.unique((out >> np.uint64(32)).astype("<u4"))
+    inside = text[:n] == text[k - 1 :]
+    both = np.unique((text[:n][inside].astype(np.uint64) << np.uint64(32)) | (out[inside] >> np.uint64(32)))
+    offsets = np.searchsorted(both, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(32))
+    return (both & np.uint64(0xFFFFFFFF)).astype("<u4"), offsets
+
+
+def shingles(ws: list[str], k: int = 3) -> np.ndarray:
+    return shingle_sets([ws], k)[0]
 
 
 def _permutations(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
@@ -70,17 +83,21 @@ def _permutations(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 1 << 32, n, dtype=np.uint32) | np.uint32(1), rng.integers(0, 1 << 32, n, dtype=np.uint32)
 
 
-def minhashes(s: np.ndarray, perms: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The least 32-bit hash of the set under each permutation. Without the second mixing step they would depend on one another."""
+def minhashes(flat: np.ndarray, offsets: np.ndarray, perms: tuple[np.ndarray, np.ndarray], step: int = 64) -> np.ndarray:
+    """The least 32-bit hash of each set under each permutation, some sets at a time. Without the second mixing step they would depend on one another."""
     a, b = perms
-    h = s.astype(np.uint32)[:, None] * a
-    t = h >> np.uint32(15)
-    t ^= b
-    h ^= t
-    h *= np.uint32(0x85EBCA6B)
-    np.right_shift(h, np.uint32(13), out=t)
-    h ^= t
-    return h.min(axis=0).astype(np.uint64)
+    out = np.empty((len(offsets) - 1, len(a)), np.uint64)
+    for i in range(0, len(out), step):
+        at = offsets[i : i + step + 1]
+        h = flat[at[0] : at[-1]].astype(np.uint32)[:, None] * a
+        t = h >> np.uint32(15)
+        t ^= b
+        h ^= t
+        h *= np.uint32(0x85EBCA6B)
+        np.right_shift(h, np.uint32(13), out=t)
+        h ^= t
+        out[i : i + step] = np.minimum.reduceat(h, at[:-1] - at[0], axis=0)
+    return out
 
 
 def _bands(seed: int = 13) -> np.ndarray:
@@ -93,20 +110,31 @@ _BANDS = _bands()
 
 
 def band_keys(low: np.ndarray) -> np.ndarray:
-    """A key per band: its number above 32 hashed bits of its min-hashes."""
-    low = low[_BANDS]
-    key = np.full(BANDS, 0x9E3779B97F4A7C15, np.uint64)
+    """A key per text (rows of min-hashes) and band: the band's number above 32 hashed bits of its min-hashes."""
+    low = low[:, _BANDS]
+    key = np.full(low.shape[:2], 0x9E3779B97F4A7C15, np.uint64)
     for i in range(ROWS):
-        key = (key ^ low[:, i]) * np.uint64(0xFF51AFD7ED558CCD)
+        key = (key ^ low[:, :, i]) * np.uint64(0xFF51AFD7ED558CCD)
         key ^= key >> np.uint64(29)
     return (np.arange(BANDS, dtype=np.int64) << 32) | (key >> np.uint64(32)).astype(np.int64)
 
 
+def fingerprints(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The bits that each set's hashes fall on, as rows of bytes. Sets that differ in n members have a distance of n at most."""
+    bits = np.zeros((len(offsets) - 1, BITS), np.uint8)
+    bits[np.repeat(np.arange(len(bits)), np.diff(offsets)), flat % BITS] = 1
+    return np.packbits(bits, axis=1)
+
+
 def fingerprint(s: np.ndarray) -> np.ndarray:
-    """The bits that the set's hashes fall on, as bytes. Sets that differ in n members have a distance of n at most."""
-    bits = np.zeros(BITS, np.uint8)
-    bits[s % BITS] = 1
-    return np.packbits(bits)
+    return fingerprints(s, np.array([0, len(s)]))[0]
+
+
+def _blobs(rows: np.ndarray, offsets: np.ndarray | None = None) -> pa.Array:
+    """Each row of a matrix, or each stretch of an array between offsets, as bytes."""
+    rows = np.ascontiguousarray(rows)
+    offsets = np.arange(len(rows) + 1) * rows[:1].nbytes if offsets is None else offsets * rows.itemsize
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(rows)]).cast(pa.binary())
 
 
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint16)
@@ -126,19 +154,28 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+MEMBERS = "field string, id bigint, class_id string, words string"
+
+
+def class_rows(fields: pa.Array, ids: pa.Array, texts: list[str | None], least: int) -> pa.RecordBatch:
+    """MEMBERS rows of a batch of texts: the class is the digest of the words; texts under `least` words are left out."""
+    ws = [words(t) if t else [] for t in texts]
+    keep = [i for i, w in enumerate(ws) if len(w) >= max(1, least)]
+    joined = [" ".join(ws[i]) for i in keep]
+    digests = [hashlib.blake2b(j.encode(), digest_size=16).hexdigest() for j in joined]
+    at = pa.array(keep, pa.int32())
+    return pa.RecordBatch.from_arrays([fields.take(at), ids.take(at), pa.array(digests, pa.string()), pa.array(joined, pa.string())], ["field", "id", "class_id", "words"])
+
+
 def classes(texts: DataFrame, least: int) -> DataFrame:
-    """(field, id, class_id, words): the class is the digest of the words; texts under `least` words are left out."""
+    """MEMBERS rows of (field, id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ws = [words(t) for t in b.column(2).to_pylist()]
-            keep = pa.array([i for i, w in enumerate(ws) if len(w) >= least], pa.int32())
-            joined = [" ".join(w) for w in ws if len(w) >= least]
-            ids = [hashlib.blake2b(j.encode(), digest_size=16).hexdigest() for j in joined]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(keep), b.column(1).take(keep), pa.array(ids, pa.string()), pa.array(joined, pa.string())], ["field", "id", "class_id", "words"])
+            yield class_rows(b.column(0), b.column(1), b.column(2).to_pylist(), least)
 
     some = texts.filter(F.length("text") >= 2 * least - 1).select("field", "id", "text")
-    return some.mapInArrow(run, "field string, id bigint, class_id string, words string")
+    return some.mapInArrow(run, MEMBERS)
 
 
 def reference_fingerprints(members: DataFrame, k: int) -> np.ndarray:
@@ -146,7 +183,7 @@ def reference_fingerprints(members: DataFrame, k: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([fingerprint(shingles(w.split(" "), k)).tobytes() for w in b.column(1).to_pylist()], pa.binary())], ["class_id", "print"])
+            yield pa.RecordBatch.from_arrays([b.column(0), _blobs(fingerprints(*shingle_sets([w.split(" ") for w in b.column(1).to_pylist()], k)))], ["class_id", "print"])
 
     some = members.select("class_id", "words").dropDuplicates(["class_id"]).orderBy("class_id").limit(PIVOTS - 1)
     prints = [bytes(r.print) for r in some.mapInArrow(run, "class_id string, print binary").orderBy("class_id").collect()]
@@ -159,11 +196,12 @@ def profiles(reps: DataFrame, k: int, pivots: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingles(w.split(" "), k) for w in b.column(2).to_pylist()]
-            prints = np.stack([fingerprint(s) for s in sets]) if sets else np.empty((0, BITS // 8), np.uint8)
+            if not b.num_rows:
+                continue
+            flat, offsets = shingle_sets([w.split(" ") for w in b.column(2).to_pylist()], k)
+            prints = fingerprints(flat, offsets)
             tables = np.minimum(255, np.stack([hamming(prints, p) for p in shared.value], axis=1)).astype(np.uint8)
-            binary = lambda rows: pa.array([x.tobytes() for x in rows], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(map(len, sets)), pa.int32()), binary(sets), binary(prints), binary(tables)], ["field", "rep", "size", "shingles", "print", "pivots"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.diff(offsets), pa.int32()), _blobs(flat, offsets), _blobs(prints), _blobs(tables)], ["field", "rep", "size", "shingles", "print", "pivots"])
 
     return reps.select("field", "rep", "words").mapInArrow(run, "field string, rep bigint, size int, shingles binary, print binary, pivots binary")
 
@@ -183,7 +221,9 @@ def band_buckets(profile: DataFrame, buckets: int) -> DataFrame:
             if not b.num_rows:
                 continue
             mix = np.array([zlib.crc32(f.encode()) for f in b.column(0).to_pylist()], np.int64)
-            keys = (np.stack([band_keys(minhashes(np.frombuffer(s, "<u4"), perms)) for s in b.column(2).to_pylist()]) ^ mix[:, None]).ravel()
+            sets = b.column(2).to_pylist()
+            offsets = np.concatenate([[0], np.cumsum([len(s) // 4 for s in sets])])
+            keys = (band_keys(minhashes(np.frombuffer(b"".join(sets), "<u4"), offsets, perms)) ^ mix[:, None]).ravel()
             order = np.argsort(keys)
             keys, reps = keys[order], np.repeat(b.column(1).to_numpy(zero_copy_only=False), BANDS)[order]
             new = np.concatenate([[True], keys[1:] != keys[:-1]])
@@ -193,9 +233,7 @@ def band_buckets(profile: DataFrame, buckets: int) -> DataFrame:
             order = np.argsort(bucket, kind="stable")
             rows = np.stack([keys[order], reps[order] * 4 + mark[order]], axis=1)
             of, first = np.unique(bucket[order], return_index=True)
-            offsets = np.append(first, len(rows)).astype(np.int64) * 16
-            blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(of), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
-            yield pa.RecordBatch.from_arrays([pa.array(of), blobs.cast(pa.binary())], ["bucket", "rows"])
+            yield pa.RecordBatch.from_arrays([pa.array(of), _blobs(rows.ravel(), np.append(first, len(rows)) * 2)], ["bucket", "rows"])
 
     return profile.select("field", "rep", "shingles").mapInArrow(run, "bucket bigint, rows binary")
 
@@ -301,10 +339,10 @@ def verified(pairs: DataFrame, profile: DataFrame, threshold: float) -> DataFram
 def near_duplicates(texts: DataFrame, threshold: float = 0.8, k: int = 5, least: int = 1) -> tuple[DataFrame, DataFrame]:
     """Pairs of class representatives (field, a, b, similarity) and membership (field, id, rep).
 
-    texts: (field, id, text), in any number of rows per id. Not complete: a pair
+    texts: (field, id, text), in any number of rows per id, or MEMBERS rows of such. Not complete: a pair
     of similarity 0.4 is a candidate with probability 0.903, see BANDS.
     """
-    members = cut_lineage(classes(texts, max(least, k)))
+    members = cut_lineage(texts if "class_id" in texts.columns else classes(texts, max(least, k)))
     reps = members.groupBy("field", "class_id").agg(F.min("id").alias("rep"), F.first("words").alias("words"))
     profile = cut_lineage(profiles(reps, k, reference_fingerprints(members, k)))
     pairs = verified(near_by_prints(candidates(profile), profile, threshold), profile, threshold)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,13 +25,17 @@ P4 = {"threshold": 0.4, "k": 3, "least": 30}
 
 
 def _part_texts(spark: SparkSession, d: str) -> DataFrame:
-    """(field, id, text) of parts, as printed and in one form of characters."""
+    """Rows of neardup.MEMBERS: the words of parts, as printed and in one form of characters."""
     pages = table(spark, d, "ocr_pages")
     texts = scanned.part_texts(table(spark, d, "parts")).filter("text is not null")
     # repair never makes more words, so texts of too few words as they stand need none
     long_ = texts.filter(F.regexp_count("text", F.lit(r"[\p{L}\p{N}]+")) >= P4["least"])
-    whole = scanned.repaired(long_, scanned.fit(texts, pages))
-    return whole.select(F.substring_index("src", ".", -1).alias("field"), F.col("rec_id").alias("id"), "text")
+
+    def members(src: pa.Array, ids: pa.Array, whole: list) -> pa.RecordBatch:
+        fields = pa.array([s.rsplit(".", 1)[-1] for s in src.to_pylist()], pa.string())
+        return neardup.class_rows(fields, ids, whole, max(P4["least"], P4["k"]))
+
+    return scanned.repaired(long_, scanned.fit(texts, pages), members, neardup.MEMBERS)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

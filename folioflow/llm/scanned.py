@@ -22,7 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -58,6 +58,8 @@ _PAGENO = re.compile(
     rf"(?:(?P<dash>[-—–~])\s*{_D}\s*(?P=dash)|\[?\(?p\s?[a-z0-9]\s?g\s?[a-z0-9]\s+{_D}(?:\s+[o0-9][f0-9t]\s+{_D})?\)?\]?|p[.,]?\s*{_D}|pg\.?\s*{_D}|{_D}\s*(?:/|of)\s*{_D})\Z",
     re.I,
 )
+#: What a page number can begin with.
+_PAGENO_FIRST = frozenset("-—–~[(pP0123456789lLoOsSbBiI")
 _BARE = re.compile(r"\d{1,4}\Z")
 #: A coefficient and its variable, unless it stands between words of a sentence.
 _TERM = re.compile(r"[2-9][a-km-np-z]\Z|\d\d+[a-km-np-z]\Z")
@@ -181,7 +183,7 @@ class Furniture:
             if n > 60 and plain.issuperset(words := line.split()) or not n:
                 pass
             elif (s := line.strip()) and s[0] != "<":
-                if _PAGENO.match(s):
+                if s[0] in _PAGENO_FIRST and _PAGENO.match(s):
                     kind = "pageno"
                 elif not plain.issuperset(words := s.split()) and self.header(words):
                     kind = "header"
@@ -423,12 +425,10 @@ def whole_words(pieces: DataFrame, model: Model) -> DataFrame:
     n = model.words.select("key", "n")
     shared = pieces.sparkSession.sparkContext.broadcast(model.editor.w)
 
-    @F.pandas_udf("boolean")
-    def keeps(a, b):
-        import pandas as pd
-
+    @F.arrow_udf("boolean")
+    def keeps(a: pa.Array, b: pa.Array) -> pa.Array:
         e = CharEditor(shared.value)
-        return pd.Series([e.joins_with_hyphen(x, y) for x, y in zip(a, b)], dtype=bool)
+        return pa.array([e.joins_with_hyphen(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.bool_())
 
     with_n = (
         pairs.withColumn("j", F.concat("a", "b")).withColumn("h", F.concat_ws("-", "a", "b"))
@@ -525,8 +525,11 @@ def rebuild(lines: list[str], edits: list[dict]) -> str:
     return "".join(out)
 
 
-def repaired(all_texts: DataFrame, model: Model) -> DataFrame:
-    """(src, rec_id, text): each text as continuous paragraphs; repeated rows once. Null and empty texts stay as they are."""
+def repaired(all_texts: DataFrame, model: Model, then: Callable[[pa.Array, pa.Array, list], pa.RecordBatch] | None = None, schema: str = "src string, rec_id bigint, text string") -> DataFrame:
+    """(src, rec_id, text): each text as continuous paragraphs; repeated rows once. Null and empty texts stay as they are.
+
+    then: what is made of a batch (src, rec_id, texts) in the same Python process, rows of `schema`; a process of its own would double the workers.
+    """
     edit = F.struct("line_no", "kind", "a", "b", "word").alias("e")
     by_text = detail(all_texts.filter("text is not null"), model).groupBy("src", "rec_id").agg(F.collect_list(edit).alias("edits"))
 
@@ -537,7 +540,7 @@ def repaired(all_texts: DataFrame, model: Model) -> DataFrame:
                 if text and (edits or "\n" in text or "<" in text or not text.isascii()):
                     text = rebuild(without_tags(raw_lines(text)), edits or [])
                 out.append(text)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], ["src", "rec_id", "text"])
+            yield then(b.column(0), b.column(1), out) if then else pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], ["src", "rec_id", "text"])
 
     joined = all_texts.dropDuplicates(["src", "rec_id"]).join(by_text, ["src", "rec_id"], "left").select("src", "rec_id", "text", "edits")
-    return joined.mapInArrow(run, "src string, rec_id bigint, text string")
+    return joined.mapInArrow(run, schema)

@@ -108,7 +108,7 @@ def test_rows_that_are_alone_go(spark):
     profile = n.profiles(df, 3, n.reference_fingerprints(df.withColumn("class_id", F.col("words")), 3))
     perms = n._permutations(n.MINHASHES)
     mix = zlib.crc32(b"text")
-    rows = [(int(k) ^ mix, i) for i, w in enumerate(texts) for k in n.band_keys(n.minhashes(n.shingles(w), perms))]
+    rows = [(int(k) ^ mix, i) for i, ks in enumerate(n.band_keys(n.minhashes(*n.shingle_sets(texts), perms))) for k in ks]
     count = Counter(k for k, _ in rows)
     want = sorted(r for r in rows if count[r[0]] > 1)
     assert 15 * n.BANDS < len(want) < len(rows)
@@ -154,3 +154,16 @@ def test_equal_and_unlike_fingerprints():
     assert n.hamming(f[0], f[1]) == 0 and n.hamming(f[0], f[2]) <= len(s) + len(t)
     assert n.hamming(f[0], f[2]) > n.allowed_distance(np.array([len(s)]), np.array([len(t)]), 0.4)[0]
     assert n.jaccard(s, s) == 1.0 and n.jaccard(s, t) == 0.0
+
+
+def test_many_sets_at_once_are_the_sets_of_each():
+    rng = random.Random(6)
+    texts = [[rng.choice(VOCAB[:40]) for _ in range(rng.randrange(3, 200))] for _ in range(150)]
+    flat, offsets = n.shingle_sets(texts)
+    perms = n._permutations(n.MINHASHES)
+    low, prints = n.minhashes(flat, offsets, perms), n.fingerprints(flat, offsets)
+    for i, w in enumerate(texts):
+        own = n.shingles(w)
+        assert (flat[offsets[i] : offsets[i + 1]] == own).all() and len(own) == len({tuple(w[j : j + 3]) for j in range(len(w) - 2)})
+        assert (low[i] == n.minhashes(own, np.array([0, len(own)]), perms)[0]).all() and (prints[i] == n.fingerprint(own)).all()
+    assert n.words("It's A-1 b_c") == ["it", "s", "a", "1", "b", "c"] and n.words("\u00c9t\u00e9 X") == ["\u00e9t\u00e9", "x"]
