@@ -142,8 +142,9 @@ class CharEditor:
         gain = self.score(feats, "E") - self.score(feats, "K") + MARGIN * margin
         return gain, math.log(counts[2]) + 0.5 * margin - (len(edits) - 1)
 
-    def joins_with_hyphen(self, head: str, tail: str) -> bool:
-        feats = join_features(head, tail)
+    def joins_with_hyphen(self, head: str, tail: str, n_joined: int = 0, n_hyphen: int = 0) -> bool:
+        """Whether the hyphen at a line end stays: by the letters around it and by how often the corpus has either form."""
+        feats = join_features(head, tail, n_joined, n_hyphen)
         return self.score(feats, "H") > self.score(feats, "J")
 
 
@@ -161,9 +162,15 @@ def evidence(n: int, n_cap: int, n_word: int, cap_word: int) -> tuple[str, ...]:
     return tuple(f"l{i}{name}" for i in range(-2, half_decades + 1))
 
 
-def join_features(head: str, tail: str) -> tuple[str, ...]:
+def join_features(head: str, tail: str, n_joined: int = 0, n_hyphen: int = 0) -> tuple[str, ...]:
+    """Features of the letters and, where the corpus has a form, of which one and how much more often."""
     a, b = head.lower()[-4:], tail.lower()[:4]
-    return ("j0", "j1" + a, "j2" + b, "j3" + a[-2:] + "-" + b[:2], "j4" + a + "-" + b, "j5" + head.lower(), "j6" + tail.lower())
+    known = ()
+    if n_joined or n_hyphen:
+        more = round(2 * math.log10((n_hyphen + 0.1) / (n_joined + 0.1)))
+        side = "h" if n_hyphen > n_joined else "j"
+        known = tuple(f"jn{side}{i}" for i in range(min(6, abs(more)) + 1))
+    return ("j0", "j1" + a, "j2" + b, "j3" + a[-2:] + "-" + b[:2], "j4" + a + "-" + b, "j5" + head.lower(), "j6" + tail.lower(), *known)
 
 
 def _noisy(word: str, rng: random.Random) -> tuple[str, list[str]] | None:
@@ -239,7 +246,10 @@ def train(words: list[str], epochs: int = 2, seed: int = 7) -> CharEditor:
                         update(feats, g, guess)
                 step += 1
         for head, tail, g in (b for _ in range(5) for b in rng.sample(breaks, len(breaks))):
-            feats = join_features(head, tail)
+            # the corpus knows the form, the other one less often or not at all, or it knows neither
+            n = rng.choice((0, 0, 1, 5, 50, 500))
+            less = int(n * 10 ** -rng.uniform(0.4, 3))
+            feats = join_features(head, tail, *((n, less) if g == "J" else (less, n)))
             guess = best(feats, ("J", "H"))
             if guess != g:
                 update(feats, g, guess)

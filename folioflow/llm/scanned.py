@@ -420,15 +420,15 @@ def fit(all_texts: DataFrame, pages: DataFrame) -> Model:
 
 
 def whole_words(pieces: DataFrame, model: Model) -> DataFrame:
-    """pieces with a (head) and b (tail) get `word`: joined as the lexicon has it, else as the editor decides."""
+    """pieces with a (head) and b (tail) get `word`: the editor decides whether the hyphen stays, knowing how often the lexicon has either form."""
     pairs = pieces.select(F.lower("a").alias("a"), F.lower("b").alias("b")).distinct()
     n = model.words.select("key", "n")
     shared = pieces.sparkSession.sparkContext.broadcast(model.editor.w)
 
     @F.arrow_udf("boolean")
-    def keeps(a: pa.Array, b: pa.Array) -> pa.Array:
+    def keeps(a: pa.Array, b: pa.Array, n_j: pa.Array, n_h: pa.Array) -> pa.Array:
         e = CharEditor(shared.value)
-        return pa.array([e.joins_with_hyphen(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.bool_())
+        return pa.array([e.joins_with_hyphen(*x) for x in zip(*(c.to_pylist() for c in (a, b, n_j, n_h)))], pa.bool_())
 
     with_n = (
         pairs.withColumn("j", F.concat("a", "b")).withColumn("h", F.concat_ws("-", "a", "b"))
@@ -437,9 +437,8 @@ def whole_words(pieces: DataFrame, model: Model) -> DataFrame:
         .join(model.fixes.select(F.col("key").alias("j"), F.col("word").alias("fixed")), "j", "left")
     )
     n_j, n_h = F.coalesce("n_j", F.lit(0)), F.coalesce("n_h", F.lit(0))
-    none = (n_j == 0) & (n_h == 0)
-    word = F.when(none & F.col("keeps"), F.col("h")).when(n_h > n_j, F.col("h")).otherwise(F.coalesce("fixed", "j"))
-    decided = with_n.withColumn("keeps", keeps("a", "b")).select("a", "b", word.alias("word"))
+    word = F.when(F.col("keeps"), F.col("h")).otherwise(F.coalesce("fixed", "j"))
+    decided = with_n.withColumn("keeps", keeps("a", "b", n_j, n_h)).select("a", "b", word.alias("word"))
     return pieces.withColumn("la", F.lower("a")).withColumn("lb", F.lower("b")).join(decided.select(F.col("a").alias("la"), F.col("b").alias("lb"), "word"), ["la", "lb"])
 
 

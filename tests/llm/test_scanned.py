@@ -79,6 +79,8 @@ def test_editor_on_held_out_misreadings():
     # kept: a word of its own, a name, a word that is no form of it
     assert model.judged("bat", "hat", (300, 0, 500, 9))[0] < 0 and model.judged("Bat".lower(), "hat", (2, 2, 500, 9))[0] < 0 and model.judged("beaker", "kettle", (1, 0, 500, 9)) is None
     assert [model.number(x) for x in ("2O2O", "17", "l3", "l", "1S.B")] == ["2020", "17", "13", "1", "15.8"]
+    both = e.train([*WORDS, "cross-section", "low-voltage", "well-mixed", "right-angled"])
+    assert both.joins_with_hyphen("semi", "circle", 0, 40) and not both.joins_with_hyphen("semi", "circle", 40, 0) and not both.joins_with_hyphen("cross", "wind", 30, 2)
     assert not model.joins_with_hyphen("beak", "er") and e.train(["cross-section", "low-voltage", "beaker"]).joins_with_hyphen("cross", "section")
 
 
