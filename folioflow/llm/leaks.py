@@ -44,7 +44,6 @@ SALT = 8
 BROADCAST_CHARS = 8_000_000
 #: Bits of the filter of the items' window hashes (1 MB whatever the number of items).
 BITS = 1 << 23
-_WORD = re.compile(r"[^\W_]+")
 _MARKUP = re.compile(r"</?[a-zA-Z][^<>]*>|&[a-z]+;")
 #: Units of measure of the exam texts' subject.
 UNITS = frozenset(
@@ -56,25 +55,39 @@ UNITS = frozenset(
 
 @lru_cache(maxsize=200_000)
 def _token(w: str) -> tuple[str, str]:
-    """The folded word and its template, `^` for a capitalised word that may be a name."""
+    """The folded word and its kind: n, u, - for a plain word, ^ for a capitalised one that may be a name."""
     low = w.lower()
     if not low.isascii():
         low = "".join(c for c in unicodedata.normalize("NFKD", low) if not unicodedata.combining(c))
     if any(c.isdigit() for c in low):
-        return low, "#n"
+        return low, "n"
     if low in UNITS:
-        return low, "#u"
-    return low, "^" if w[0].isupper() and not w.isupper() else low
+        return low, "u"
+    return low, "^" if w[0].isupper() and not w.isupper() else "-"
+
+
+_OPENING = r"[\s\"'«“(\[*_-]*"
+#: A word and, if it begins a sentence, what stands before it.
+_TOKEN = re.compile(rf"([.?!:;>$]{_OPENING}|\n\s*\n{_OPENING})?([^\W_]+)")
+
+
+def words_and_kinds(text: str) -> tuple[list[str], str]:
+    """The runs of letters or digits, folded, and a character for each: n (number), p (name) or u (unit) for a slot, - for a plain word.
+
+    A capitalised word that doesn't begin a sentence is a name.
+    """
+    found = _TOKEN.findall(consistent(_MARKUP.sub(" ", text)) if "<" in text or "&" in text else consistent(text))
+    pairs = [_token(w) for _, w in found]
+    kinds = "".join([k for _, k in pairs])
+    if "^" in kinds:
+        kinds = kinds[0].replace("^", "-") + kinds[1:]  # the first word of all begins a sentence
+        kinds = "".join([k if k != "^" else "-" if before else "p" for k, (before, _) in zip(kinds, found)])
+    return [w for w, _ in pairs], kinds
 
 
 def tokens(text: str) -> list[tuple[str, str]]:
-    """(word, template) of the runs of letters or digits: the word folded, the template with typed placeholders."""
-    text = consistent(_MARKUP.sub(" ", text)) if "<" in text or "&" in text else consistent(text)
-    out = []
-    for m in _WORD.finditer(text):
-        low, t = pair = _token(m[0])
-        out.append(pair if t != "^" else (low, low if _begins_sentence(text, m.start()) else "#p"))
-    return out
+    """(word, template): the template of a slot is its type."""
+    return [(w, w if k == "-" else "#" + k) for w, k in zip(*words_and_kinds(text))]
 
 
 @lru_cache(maxsize=200_000)
@@ -82,11 +95,6 @@ def _hash(template: str) -> int:
     return zlib.crc32(template.encode())
 
 
-def _begins_sentence(text: str, at: int) -> bool:
-    before = text[max(0, at - 6) : at].rstrip(" \t\r\n\"'«“([*_-")
-    return not before or before[-1] in ".?!:;>$" or "\n\n" in text[max(0, at - 6) : at]
-
-
 def window_hashes(words: list[str], kinds: str, w: int = WINDOW) -> np.ndarray:
     """64-bit hashes of the windows of w words, built from one hash per word.
 
@@ -128,11 +136,6 @@ def _close(a: str, b: str) -> bool:
     return a[i + (n >= m) :] == b[i + (m >= n) :]
 
 
-def slot_kinds(templates: list[str]) -> str:
-    """A character per word: n, p or u for a slot, - for a plain word."""
-    return "".join(t[1] if t[0] == "#" else "-" for t in templates)
-
-
 def slot_values(doc: list[str], item: list[str], kinds: tuple[str, str], diagonals: list[int]) -> dict[tuple[str, str], str]:
     """(kind, item's value) -> the document's value that most of its slots in equal template windows have; of equally many the first in order.
 
@@ -220,10 +223,10 @@ def item_windows(items: DataFrame, share: float = SHARE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                pairs = tokens(text)
-                if pairs:
-                    w = window_size(len(pairs), share)
-                    h = window_hashes([x for x, _ in pairs], slot_kinds([t for _, t in pairs]), w)
+                words, kinds = words_and_kinds(text)
+                if words:
+                    w = window_size(len(words), share)
+                    h = window_hashes(words, kinds, w)
                     n = len(h)
                     yield pa.RecordBatch.from_arrays([pa.array(h), pa.array([i] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.array([w] * n, pa.int32())], ["hash", "item_id", "at", "size"])
 
@@ -247,8 +250,8 @@ def document_hits(documents: DataFrame, bits: np.ndarray, sizes: list[int]) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         for b in batches if sizes else ():
-            read = [tokens(text) for text in b.column(1).to_pylist()]
-            own, of = [[x for x, _ in pairs] for pairs in read], [slot_kinds([t for _, t in pairs]) for pairs in read]
+            read = [words_and_kinds(text) for text in b.column(1).to_pylist()]
+            own, of = [x for x, _ in read], [x for _, x in read]
             # the windows of all texts of the batch at once; those that reach into the next text go
             n = np.fromiter(map(len, own), np.int64, len(own))
             doc, ends = np.repeat(np.arange(len(own)), n), np.cumsum(n)
@@ -307,12 +310,15 @@ def compared(documents: DataFrame, items: DataFrame, share: float = SHARE) -> Da
 
 def _pairs(documents: DataFrame, items: DataFrame, share: float, piece: int, refill: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = lru_cache(maxsize=10_000)(_words_and_kinds)
+        read = lru_cache(maxsize=10_000)(words_and_kinds)
+        last, doc = None, []
         for b in batches:
             keep = []
             for i, (diagonals, text, of, item) in enumerate(zip(*(b.column(c).to_pylist() for c in range(2, 6)))):
                 words, kinds = read(item)
-                doc, least = text.split(" "), share * len(words)
+                if text != last:  # the pairs of a document come one after another
+                    last, doc = text, text.split(" ")
+                least = share * len(words)
                 held = matched(doc, words, diagonals, piece, share=share) >= least
                 if refill:
                     held = not held and matched(doc, words, diagonals, piece, (of, kinds), share) >= least
@@ -322,8 +328,3 @@ def _pairs(documents: DataFrame, items: DataFrame, share: float, piece: int, ref
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at)], ["doc_id", "item_id"])
 
     return compared(documents, items, share).mapInArrow(run, "doc_id bigint, item_id bigint").distinct()
-
-
-def _words_and_kinds(text: str) -> tuple[list[str], str]:
-    pairs = tokens(text)
-    return [x for x, _ in pairs], slot_kinds([t for _, t in pairs])

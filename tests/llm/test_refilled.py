@@ -19,6 +19,6 @@ def test_refilled_questions_have_a_query_of_their_own(spark):
 
 
 def test_a_value_has_one_counterpart():
-    item, doc, mixed = (k.tokens(x) for x in (ITEM, REFILLED, MIXED))
-    count = lambda d: k.matched([w for w, _ in d], [w for w, _ in item], [0], kinds=(k.slot_kinds([t for _, t in d]), k.slot_kinds([t for _, t in item])))
-    assert count(doc) == len(item) > 2 * count(mixed)
+    item, doc, mixed = (k.words_and_kinds(x) for x in (ITEM, REFILLED, MIXED))
+    count = lambda d: k.matched(d[0], item[0], [0], kinds=(d[1], item[1]))
+    assert count(doc) == len(item[0]) > 2 * count(mixed)
