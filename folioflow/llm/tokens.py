@@ -71,25 +71,29 @@ def encoded(documents: DataFrame, name: str = NAME, folder: str = FOLDER, hot_wo
     """(doc_id, ids) of each document."""
     docs = each_once(documents.select(key, "text"), key)
     words = cut_lineage(word_table(documents.filter("text is not null"), name, folder))
-    hot = {r.word: list(r.ids) for r in words.orderBy(F.desc("n"), "word").limit(hot_words).collect()}
+    hot = {r.word: tuple(r.ids) for r in words.orderBy(F.desc("n"), "word").limit(hot_words).collect()}
     shared = documents.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = shared.value.get
         for b in batches:
-            ids, cold, at = [], [], []
+            # one flat list of ids and one of rare words for the batch, with the offsets of the texts in both
+            ids, ends, at, no, word, rare_ends = [], [0], [], [], [], [0]
             for ws in b.column(1).to_pylist():
-                out, rare = [], []
+                begin = len(ids)
                 for i, w in enumerate(ws or ()):
                     x = get(w)
                     if x is None:
-                        rare.append({"at": len(out), "no": i, "word": w})
+                        at.append(len(ids) - begin)
+                        no.append(i)
+                        word.append(w)
                     else:
-                        out += x
-                ids.append(out)
-                cold.append(rare)
-            rare_type = pa.list_(pa.struct([("at", pa.int32()), ("no", pa.int32()), ("word", pa.string())]))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(cold, rare_type)], [key, "ids", "cold"])
+                        ids += x
+                ends.append(len(ids))
+                rare_ends.append(len(word))
+            rare = pa.StructArray.from_arrays([pa.array(at, pa.int32()), pa.array(no, pa.int32()), pa.array(word, pa.string())], ["at", "no", "word"])
+            lists = [pa.ListArray.from_arrays(pa.array(o, pa.int32()), v) for o, v in ((ends, pa.array(ids, pa.int32())), (rare_ends, rare))]
+            yield pa.RecordBatch.from_arrays([b.column(0), *lists], [key, "ids", "cold"])
 
     kind = documents.schema[key].dataType.simpleString()
     looked = docs.select(key, split_words().alias("words")).mapInArrow(run, f"{key} {kind}, ids array<int>, cold array<struct<at int, no int, word string>>")
