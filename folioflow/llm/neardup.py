@@ -206,8 +206,22 @@ def profiles(reps: DataFrame, k: int, pivots: np.ndarray) -> DataFrame:
     return reps.select("field", "rep", "words").mapInArrow(run, "field string, rep bigint, size int, shingles binary, print binary, pivots binary")
 
 
+def packed(keys: np.ndarray, reps: np.ndarray) -> tuple[np.ndarray, int]:
+    """A row of bytes for each pair: five of the key, and as many of the other number as the largest one needs."""
+    width = 8 if (reps < 0).any() else max(1, (int(reps.max(initial=0)).bit_length() + 7) // 8)
+    return np.concatenate([x.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :n] for x, n in ((keys, 5), (reps, width))], axis=1), width
+
+
+def unpacked(rows: bytes, width: int) -> np.ndarray:
+    """The pairs again, as two columns."""
+    flat = np.frombuffer(rows, np.uint8).reshape(-1, 5 + width)
+    out = np.zeros((len(flat), 16), np.uint8)
+    out[:, :5], out[:, 8 : 8 + width] = flat[:, :5], flat[:, 5:]
+    return out.view("<i8")
+
+
 def band_buckets(profile: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, rows): the band rows of the representatives by their keys, as bytes of pairs of integers, the key and the representative with a mark.
+    """(bucket, width, rows): the band rows of the representatives by their keys, packed: the key, and the representative with a mark.
 
     Of a key that has several rows in a batch, one goes to the key's bucket,
     marked SHARED, the others, marked KNOWN, to buckets in turn. So no bucket
@@ -231,11 +245,11 @@ def band_buckets(profile: DataFrame, buckets: int) -> DataFrame:
             mark = np.where(alone, 0, np.where(new, SHARED, KNOWN))
             bucket = np.where(mark == KNOWN, np.arange(len(keys)), keys) & (buckets - 1)
             order = np.argsort(bucket, kind="stable")
-            rows = np.stack([keys[order], reps[order] * 4 + mark[order]], axis=1)
+            rows, width = packed(keys[order], reps[order] * 4 + mark[order])
             of, first = np.unique(bucket[order], return_index=True)
-            yield pa.RecordBatch.from_arrays([pa.array(of), _blobs(rows.ravel(), np.append(first, len(rows)) * 2)], ["bucket", "rows"])
+            yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(np.full(len(of), width, np.int32)), _blobs(rows.ravel(), np.append(first, len(rows)) * (5 + width))], ["bucket", "width", "rows"])
 
-    return profile.select("field", "rep", "shingles").mapInArrow(run, "bucket bigint, rows binary")
+    return profile.select("field", "rep", "shingles").mapInArrow(run, "bucket bigint, width int, rows binary")
 
 
 def shared_keys(buckets: DataFrame) -> DataFrame:
@@ -254,24 +268,25 @@ def shared_keys(buckets: DataFrame) -> DataFrame:
         at = np.concatenate([order[keep], np.flatnonzero(known)])
         return pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(rep[at])], ["key", "rep"])
 
+    def whole(rows: list[tuple[int, bytes]]) -> np.ndarray:
+        return np.concatenate([unpacked(b"".join(r for w, r in rows if w == width), width) for width in {w for w, _ in rows}])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, open_ = [], None  # rows of the bucket that the next batch may go on with
         for b in batches:
             of = b.column(0).to_numpy(zero_copy_only=False)
-            blobs = b.column(1).to_pylist()
-            if not len(of):
+            rows = list(zip(b.column(1).to_pylist(), b.column(2).to_pylist()))
+            if not rows:
                 continue
             ends = int(np.searchsorted(of, of[-1]))  # rows of the last bucket begin here
-            if ends:
-                yield shared(np.frombuffer(b"".join(held + blobs[:ends]), np.int64).reshape(-1, 2))
-                held = []
-            elif held and open_ != of[-1]:
-                yield shared(np.frombuffer(b"".join(held), np.int64).reshape(-1, 2))
+            if ends or open_ != of[-1]:
+                if done := held + rows[:ends]:
+                    yield shared(whole(done))
                 held = []
-            held += blobs[ends:]
+            held += rows[ends:]
             open_ = of[-1]
         if held:
-            yield shared(np.frombuffer(b"".join(held), np.int64).reshape(-1, 2))
+            yield shared(whole(held))
 
     return buckets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "key bigint, rep bigint")
 

@@ -167,3 +167,12 @@ def test_many_sets_at_once_are_the_sets_of_each():
         assert (flat[offsets[i] : offsets[i + 1]] == own).all() and len(own) == len({tuple(w[j : j + 3]) for j in range(len(w) - 2)})
         assert (low[i] == n.minhashes(own, np.array([0, len(own)]), perms)[0]).all() and (prints[i] == n.fingerprint(own)).all()
     assert n.words("It's A-1 b_c") == ["it", "s", "a", "1", "b", "c"] and n.words("\u00c9t\u00e9 X") == ["\u00e9t\u00e9", "x"]
+
+
+def test_packed_rows_come_back():
+    rng = np.random.default_rng(4)
+    for most in (1, 300, 1 << 40, 1 << 62):
+        keys, reps = rng.integers(0, 1 << 39, 50), rng.integers(0, most, 50) - (most == 300)
+        rows, width = n.packed(keys, reps)
+        assert rows.shape == (50, 5 + width) and (n.unpacked(rows.tobytes(), width) == np.stack([keys, reps], axis=1)).all()
+    assert n.unpacked(b"", 3).shape == (0, 2)
